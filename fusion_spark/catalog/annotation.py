@@ -11,6 +11,7 @@ from fusion_spark.functions import features as X
 from fusion_spark.operators import annotation as A
 from fusion_spark.operators.intervals import interval_join, merge_intervals, parse_ranges
 from fusion_spark.operators.skew import skew_join
+from fusion_spark.session import cut_lineage
 from fusion_spark.sources.annotation import gtf_value, has_known_prefix, tsl_from_attributes
 
 _BOUNDARY = """CASE WHEN {s} IS NULL THEN 'NA' WHEN {p} = {s} THEN 'left_boundary'
@@ -119,8 +120,11 @@ def _pairs(spark, sf_dir):
     loci = exons.groupBy("transcript_id").agg(
         F.min("start").alias("locus_start"), F.max("stop").alias("locus_stop")
     )
-    sides = skew_join(_framed(spark, sf_dir), loci, ["transcript_id"], "inner",
-                      ["chrom", "pos", "strand"])
+    # both sides read the framed hits, so they are computed once
+    sides = cut_lineage(
+        skew_join(_framed(spark, sf_dir), loci, ["transcript_id"], "inner",
+                  ["chrom", "pos", "strand"])
+    )
     first = A.pair_sides(_fusions(spark, sf_dir), sides, 1, ["sample", "bpid"])
     return A.pair_sides(first, sides, 2, ["sample", "bpid", "exon_ord1"])
 

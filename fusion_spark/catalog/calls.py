@@ -384,12 +384,15 @@ def parse_infusion(spark, sf_dir):
 
 @query("parse_mapsplice", "fx_calls", _PARSED)
 def parse_mapsplice(spark, sf_dir):
-    filled = {
-        0: F.concat_ws("~", "chrom1", "chrom2"), 1: F.col("pos1"), 2: F.col("pos2"),
-        4: F.col("junc"), 5: F.concat("strand1", "strand2"), 27: F.col("span"),
-        60: F.concat("gene1", F.lit(",x")), 61: F.concat("gene2", F.lit(",y")),
-    }
-    line = F.concat_ws("\t", *[filled.get(i, F.lit(".")).cast("string") for i in range(62)])
+    def unread(n):
+        return F.lit("\t".join("." * n))
+
+    # fields 0-5, 6-26 unread, 27, 28-59 unread, 60, 61
+    line = F.concat_ws(
+        "\t", F.concat_ws("~", "chrom1", "chrom2"), "pos1", "pos2", unread(1), "junc",
+        F.concat("strand1", "strand2"), unread(21), "span", unread(32),
+        F.concat("gene1", F.lit(",x")), F.concat("gene2", F.lit(",y")),
+    )
     return C.parse_tool(
         spark, "mapsplice", view(spark, sf_dir, "fx_calls").select("sample", line.alias("value"))
     )

@@ -71,11 +71,17 @@ def _chrom(bp: Column) -> Column:
 
 
 def _normalised(
-    df: DataFrame, gene: Column, bp1: Column, bp2: Column, junction: Column, spanning: Column
+    df: DataFrame, gene: Column, bp1: Column, bp2: Column, junction: Column, spanning: Column,
+    chroms: tuple[Column, Column] | None = None,
 ) -> DataFrame:
-    """Common call layout, restricted to primary chromosomes; a ``sample`` column is kept."""
+    """Common call layout, restricted to primary chromosomes; a ``sample`` column is kept.
+
+    ``chroms`` names both chromosomes where the raw row has them apart from the breakpoint
+    text, which keeps the filter cheap.
+    """
     kept = [c for c in ("sample",) if c in df.columns]
-    return df.filter(is_primary(_chrom(bp1)) & is_primary(_chrom(bp2))).select(
+    chrom1, chrom2 = chroms or (_chrom(bp1), _chrom(bp2))
+    return df.filter(is_primary(chrom1) & is_primary(chrom2)).select(
         *kept,
         breakpoint_id(bp1, bp2).alias("BPID"),
         gene.alias("Fusion_Gene"),
@@ -101,6 +107,7 @@ def parse_arriba(raw: DataFrame, extra: DataFrame | None = None) -> DataFrame:
         fusion_gene(F.col("#gene1"), F.col("gene2")), bp[0], bp[1],
         F.col("split_reads1").cast("bigint") + F.col("split_reads2").cast("bigint"),
         F.col("discordant_mates"),
+        (_chrom(F.col("breakpoint1")), _chrom(F.col("breakpoint2"))),
     )
 
 
@@ -168,20 +175,24 @@ def parse_infusion(raw: DataFrame, extra: DataFrame | None = None) -> DataFrame:
         for i in (1, 2)
     ]
     return _normalised(
-        raw, fusion_gene(*genes), bp[0], bp[1], F.col("num_split"), F.col("num_paired")
+        raw, fusion_gene(*genes), bp[0], bp[1], F.col("num_split"), F.col("num_paired"),
+        (F.col("ref1"), F.col("ref2")),
     )
 
 
 def parse_mapsplice(raw: DataFrame, extra: DataFrame | None = None) -> DataFrame:
     """``raw``: headerless lines (column ``value``), fields taken by position."""
-    wanted = raw.withColumn("f", F.split("value", "\t"))
-    field = F.col("f")
-    chroms = F.split(field[0], "~")
-    bp1 = breakpoint_text(chroms[0], field[1], F.substring(field[5], 1, 1))
-    bp2 = breakpoint_text(chroms[1], field[2], F.substring(field[5], 2, 1))
+
+    def field(i: int) -> Column:
+        return F.substring_index(F.substring_index("value", "\t", i + 1), "\t", -1)
+
+    chroms = [F.substring_index(field(0), "~", side) for side in (1, -1)]
+    bp = [
+        breakpoint_text(chroms[i], field(i + 1), F.substring(field(5), i + 1, 1)) for i in (0, 1)
+    ]
     return _normalised(
-        wanted, fusion_gene(first_listed(field[60]), first_listed(field[61])), bp1, bp2,
-        field[4], field[27],
+        raw, fusion_gene(first_listed(field(60)), first_listed(field(61))), bp[0], bp[1],
+        field(4), field(27), (chroms[0], chroms[1]),
     )
 
 
@@ -193,6 +204,7 @@ def parse_soapfuse(raw: DataFrame, extra: DataFrame | None = None) -> DataFrame:
     return _normalised(
         raw, fusion_gene(F.col("up_gene"), F.col("dw_gene")), bp[0], bp[1],
         F.col("Junc_reads_num"), F.col("Span_reads_num"),
+        (F.col("up_chr"), F.col("dw_chr")),
     )
 
 
