@@ -12,6 +12,7 @@ from fusion_spark.operators.annotation import passes_tsl
 from fusion_spark.operators.dedup import first_by, mark_repeats, number_in_key, uniquify_ids
 from fusion_spark.operators.skew import skew_join
 from fusion_spark.schemas import CHROMS
+from fusion_spark.session import cut_lineage
 
 TOOLS = ["fusioncatcher", "starfusion", "arriba"]
 _CHROM_LIST = ", ".join(f"'{c}'" for c in CHROMS)
@@ -393,9 +394,9 @@ def parse_mapsplice(spark, sf_dir):
         F.concat("strand1", "strand2"), unread(21), "span", unread(32),
         F.concat("gene1", F.lit(",x")), F.concat("gene2", F.lit(",y")),
     )
-    return C.parse_tool(
-        spark, "mapsplice", view(spark, sf_dir, "fx_calls").select("sample", line.alias("value"))
-    )
+    # the parser starts from a table of raw lines, as it does from a caller's file
+    raw = cut_lineage(view(spark, sf_dir, "fx_calls").select("sample", line.alias("value")))
+    return C.parse_tool(spark, "mapsplice", raw)
 
 
 @query("parse_soapfuse", "fx_calls", _PARSED)
