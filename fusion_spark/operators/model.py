@@ -20,8 +20,13 @@ POSITIVE, NEGATIVE = "positive", "negative"
 
 
 def prepare_features(df: DataFrame) -> DataFrame:
-    """A missing boundary counts as no_match."""
-    return df.fillna("no_match", ["exon_boundary"]) if "exon_boundary" in df.columns else df
+    """A missing boundary counts as no_match; values outside the fixed levels become NULL."""
+    if "exon_boundary" in df.columns:
+        df = df.fillna("no_match", ["exon_boundary"])
+    for name, levels in LEVELS.items():
+        if name in df.columns:
+            df = df.withColumn(name, F.when(F.col(name).isin(*levels), F.col(name)))
+    return df
 
 
 def level_index(column: Column, levels: tuple[str, ...]) -> Column:
@@ -70,15 +75,22 @@ def score(
     df: DataFrame, model: PipelineModel, features: list[str],
     threshold: float = PREDICTION_THRESHOLD,
 ) -> DataFrame:
-    """Adds ``prediction_prob`` and ``prediction_class``; both NULL if a feature is missing."""
+    """Adds ``prediction_prob`` and ``prediction_class``.
+
+    Both are NULL for all rows if a feature column is missing, and for rows without a value
+    in one of the features.
+    """
     missing = missing_features(df, features)
     if missing:
         warnings.warn(f"features missing from the input: {', '.join(missing)}", stacklevel=2)
         return df.withColumn("prediction_prob", F.lit(None).cast("double")).withColumn(
             "prediction_class", F.lit(None).cast("string")
         )
+    complete = F.lit(True)
+    for name in features:
+        complete = complete & F.col(name).isNotNull()
     scored = model.transform(prepare_features(df)).withColumn(
-        "prediction_prob", vector_to_array("_probability")[1]
+        "prediction_prob", F.when(complete, vector_to_array("_probability")[1])
     )
     return scored.select(
         *df.columns, "prediction_prob",
