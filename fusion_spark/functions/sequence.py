@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from functools import cache
 from itertools import product
 
 from pyspark.sql import Column
@@ -63,6 +64,7 @@ def window_around(seq: Column, bp: Column, length: int = CONTEXT_LENGTH) -> Colu
     return cut(seq, F.greatest(F.lit(0), bp - length), bp + length)
 
 
+@cache
 def _codon_tables(code: int) -> tuple[dict[str, str], dict[str, str]]:
     residues = {STANDARD_CODE: _CODE_1, MITOCHONDRIAL_CODE: _CODE_2}[code]
     plain = dict(zip(("".join(c) for c in product(_BASES, repeat=3)), residues))
@@ -80,7 +82,9 @@ def _codon_tables(code: int) -> tuple[dict[str, str], dict[str, str]]:
 
 
 def _literal_map(entries: dict[str, str]) -> Column:
-    return F.create_map(*(F.lit(x) for pair in entries.items() for x in pair))
+    """A map constant; as one text it stays a single node until it is folded."""
+    text = ",".join(f"{codon}:{residue}" for codon, residue in entries.items())
+    return F.str_to_map(F.lit(text), F.lit(","), F.lit(":"))
 
 
 def codons(seq: Column) -> Column:
