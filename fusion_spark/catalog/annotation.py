@@ -286,7 +286,7 @@ reached AS (
          (s.strand = '+') = (side = 1) AS is_left,
          row_number() OVER (PARTITION BY s.pos, s.strand, s.tx, side ORDER BY
            CASE WHEN (s.strand = '+') = (side = 1) THEN -e.start ELSE e.start END) = 1 AS edge
-  FROM sides s CROSS JOIN (SELECT 1 AS side UNION ALL SELECT 2) n JOIN fx_exons e ON e.tx = s.tx
+  FROM (SELECT *, unnest([1, 2]) AS side FROM sides) s JOIN fx_exons e ON e.tx = s.tx
   WHERE CASE WHEN (s.strand = '+') = (side = 1) THEN e.start <= s.pos ELSE s.pos <= e.stop END),
 kept AS (
   SELECT pos, strand, tx, side,

@@ -105,8 +105,7 @@ FROM {documents}
 _CONTEXTS = """
 SELECT 'S0' AS sample, concat(c_custkey, '_', 300 + c_custkey % 200, '_', seq_type) AS name,
        300 + c_custkey % 200 AS position
-FROM {customer} CROSS JOIN (SELECT 'ft' AS seq_type UNION ALL SELECT 'wt1' UNION ALL
-                            SELECT 'wt2') t
+FROM (SELECT c_custkey, @seq_types AS seq_type FROM {customer}) t
 """
 
 _RQ_ALN = """
@@ -142,6 +141,7 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
         VIEWS[name]
         .replace("@exon_numbers", "explode(sequence(0L, CAST(1 + p_size % 6 AS BIGINT)))")
         .replace("@regexp_all(", "regexp_replace(")
+        .replace("@seq_types", "explode(array('ft', 'wt1', 'wt2'))")
     )
     return spark.sql(text, **{b: view(spark, sf_dir, b) for b in _BASE[name]})
 
@@ -152,6 +152,7 @@ def _check_text(name: str) -> str:
         .replace("@exon_numbers", "unnest(range(0, 2 + p_size % 6))")
         .replace("@regexp_all(text, '[^a-zA-Z]', '')",
                  "regexp_replace(text, '[^a-zA-Z]', '', 'g')")
+        .replace("@seq_types", "unnest(['ft', 'wt1', 'wt2'])")
         .replace("STRING", "VARCHAR")
     )
     for base in _BASE[name]:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -104,9 +104,15 @@ def write_mates(split: DataFrame, path: str) -> None:
     split.write.mode("overwrite").partitionBy("sample", "mate").parquet(path)
 
 
-def write_candidates(merged: DataFrame, path: str) -> None:
-    """Merged candidate table with ``NA`` for missing values."""
-    write_delimited(merged, path, missing=MISSING, by_sample=True)
+def write_candidates(merged: DataFrame, path: str) -> tuple[int, int]:
+    """Merged candidate table with ``NA`` for missing values; returns rows and columns written.
+
+    The rows are counted while they are written.
+    """
+    written = Observation()
+    counted = merged.observe(written, F.count(F.lit(1)).alias("rows"))
+    write_delimited(counted, path, missing=MISSING, by_sample=True)
+    return written.get["rows"], len([c for c in merged.columns if c != "sample"])
 
 
 def all_path(path: str) -> str:

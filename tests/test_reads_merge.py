@@ -144,3 +144,54 @@ def test_model(spark):
     with pytest.warns(UserWarning, match="ft_junc"):
         blank = model.score(df.drop("ft_junc"), fitted, features)
     assert {r.prediction_prob for r in blank.collect()} == {None}
+
+
+def test_stages_from_calls_to_candidates(spark, tmp_path):
+    """All stages over stored tables, two samples at once."""
+    from fusion_spark.operators.sequences import chunk_sequences
+    from fusion_spark.plans import stages
+    from fusion_spark.schemas import TOOL_CALL
+
+    random.seed(9)
+    genome = {c: "".join(random.choice("ACGT") for _ in range(2000)) for c in ("1", "2")}
+    exons = [("1", 101, 200, "e1", "T1", 0), ("2", 301, 400, "e2", "T2", 1)]
+    genes = stages.GeneModel(
+        exons=spark.createDataFrame(
+            exons, "chrom string, start bigint, stop bigint, id string, transcript_id string, _ord bigint"),
+        cds=spark.createDataFrame(
+            [(c, s, e, f"c{i}", 0, t, o) for i, (c, s, e, _, t, o) in enumerate(exons)],
+            "chrom string, start bigint, stop bigint, id string, frame int, transcript_id string, _ord bigint"),
+        transcripts=spark.createDataFrame(
+            [("T1", "pc", "G1", "pc", "d"), ("T2", "pc", "G2", "pc", "d")],
+            "transcript_id string, trans_biotype string, gene_name string, gene_biotype string, description string"),
+        tsl=spark.createDataFrame([("T1", "1"), ("T2", "1")], "transcript_id string, tsl string"),
+        genome=chunk_sequences(spark.createDataFrame(list(genome.items()), "chrom string, seq string")),
+    )
+    call = ("1:200:+_2:301:+", "G1_G2", "1:200:+", "2:301:+", 5, 6)
+    calls = spark.createDataFrame([call], TOOL_CALL)
+    both = {
+        tool: calls.withColumn("sample", F.explode(F.split(F.lit(samples), "")))
+        for tool, samples in (("x", "ab"), ("y", "a"))
+    }
+    context = genome["1"][100:200] + genome["2"][300:400]
+    name = f"{xxhash_hex(context)}_100_ft"
+    reads = spark.createDataFrame(
+        [("a", name, "r", 65, 50, 150), ("b", name, "r", 65, 95, 195)],
+        "sample string, name string, qname string, flag int, pos0 bigint, end0 bigint")
+    library = spark.createDataFrame([("a", 1000), ("b", 0)], "sample string, input_reads bigint")
+    merged = stages.run(spark, str(tmp_path), both, genes, reads, library, ["x", "y"])
+    rows = {r.sample: r for r in merged.collect()}
+    assert set(rows) == {"a", "b"} and rows["a"].context_sequence == context
+    assert (rows["a"].tool_frac, rows["b"].tool_frac) == (1.0, 0.5)
+    assert (rows["a"].x_junc, rows["b"].x_junc, rows["b"].y_detected) == (5000.0, 5.0, 0)
+    assert (rows["a"].ft_junc_cnt, rows["a"].ft_anch, rows["a"].wt1_junc_cnt) == (1, 50, 0)
+    assert rows["b"].ft_junc_cnt == 0
+    assert rows["a"].exon_boundary == "both" and rows["a"].type == "trans"
+    kept = stages.regions_of_interest(spark.read.parquet(f"{tmp_path}/annotated"))
+    assert sorted(tuple(r) for r in kept.collect()) == [("1", 101, 200), ("2", 301, 400)]
+
+
+def xxhash_hex(text):
+    import xxhash
+
+    return xxhash.xxh64(text).hexdigest()

@@ -197,7 +197,7 @@ def test_candidates_and_predictions(spark, tmp_path):
     df = spark.createDataFrame(
         [("s", "a", None, 0.7, "positive"), ("s", "b", 2, 0.2, "negative")],
         "sample string, FTID string, ft_bp bigint, prediction_prob double, prediction_class string")
-    K.write_candidates(df, str(tmp_path / "m.csv"))
+    assert K.write_candidates(df, str(tmp_path / "m.csv")) == (2, 4)
     assert "a;NA;0.7;positive" in text(tmp_path / "m.csv" / "sample=s")
     back = tables.merged_candidates(spark, str(tmp_path / "m.csv"))
     assert sorted((r.FTID, r.ft_bp) for r in back.collect()) == [("a", None), ("b", "2")]
