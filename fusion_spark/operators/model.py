@@ -64,7 +64,11 @@ def fit_model(
             numTrees=trees, maxDepth=depth, seed=seed,
         )
     )
-    return Pipeline(stages=stages).fit(prepare_features(labelled))
+    fitted = Pipeline(stages=stages).fit(prepare_features(labelled))
+    # A copy leaves the training summary behind, which would otherwise go to every task
+    # together with the session it holds on to.
+    *indexing, forest = fitted.stages
+    return PipelineModel([*indexing, forest.copy()])
 
 
 def prediction_class(prob: Column, threshold: float = PREDICTION_THRESHOLD) -> Column:

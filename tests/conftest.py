@@ -12,7 +12,8 @@ from fusion_spark.session import get_spark  # noqa: E402
 def spark(tmp_path_factory):
     session = get_spark("tests", **{
         "spark.master": "local[8]", "spark.sql.shuffle.partitions": "8",
-        "spark.driver.memory": "8g", "spark.ui.enabled": "false",
+        "spark.driver.memory": "12g", "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false", "spark.sql.ui.retainedExecutions": "20",
         "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
     })
     session.sparkContext.setLogLevel("ERROR")

@@ -2,6 +2,7 @@ import random
 from collections import defaultdict
 
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from fusion_spark.operators import calls as C
@@ -135,7 +136,10 @@ def test_model(spark):
             for i, (t, b) in enumerate([("trans", "both"), ("cis_near", "no_match"), ("odd", None)] * 20)]
     df = spark.createDataFrame(rows, "type string, exon_boundary string, frame string, ft_junc double, label double")
     features = ["type", "exon_boundary", "frame", "ft_junc"]
+    # an observed write before scoring leaves state on the session that cannot be serialized
+    df.observe(Observation(), F.count("*").alias("n")).collect()
     fitted = model.fit_model(df, features, trees=5)
+    assert not fitted.stages[-1].hasSummary
     scored = model.score(df, fitted, features)
     assert scored.columns == df.columns + ["prediction_prob", "prediction_class"]
     classes = {(r.exon_boundary, r.prediction_class) for r in scored.collect()}
