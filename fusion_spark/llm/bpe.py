@@ -71,18 +71,17 @@ def encode(
     sizes = np.zeros(max(ranks.values()) + 1, np.int64)
     for token, rank in ranks.items():
         sizes[rank] = len(token)
-    shared = docs.sparkSession.sparkContext.broadcast(
-        (tokenizer_of(ranks, pattern).to_str(), sizes)
-    )
+    shared = docs.sparkSession.sparkContext.broadcast({
+        "model": tokenizer_of(ranks, pattern).to_str(), "pattern": pattern, "lengths": sizes,
+    })
     schema = "doc_id long, ids array<int>"
     schema += ", starts array<int>, ends array<int>" if offsets else ""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, lengths = shared.value
-        encoder = WordEncoder(Tokenizer.from_str(model), pattern)
+        encoder, lengths = WordEncoder.of(shared.value), shared.value["lengths"]
         for batch in slices(batches):
             texts = texts_of(batch, "text")
-            codes = encoder.encode(texts)
+            codes = [encoder.encode(text) for text in texts]
             flat = np.frombuffer(b"".join(codes), np.int32)
             bounds = np.cumsum([0, *(len(code) // 4 for code in codes)]).astype(np.int32)
             lists = [flat]

@@ -8,10 +8,8 @@ from array import array
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
 
 from fusion_spark.llm.store import stored
 from fusion_spark.llm.words import WordEncoder, slices, texts_of
@@ -27,18 +25,19 @@ def cut(docs: DataFrame, tokenizer_path: str, pattern: str, size: int = SIZE) ->
     All pieces of a document but its last are full. Null texts count as empty: one piece with
     the closing id alone.
     """
-    regex.compile(pattern)
     with open(tokenizer_path, encoding="utf-8") as file:
-        model = docs.sparkSession.sparkContext.broadcast(file.read())
+        shared = docs.sparkSession.sparkContext.broadcast(
+            {"model": file.read(), "pattern": pattern}
+        )
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(Tokenizer.from_str(model.value), pattern)
+        encode = WordEncoder.of(shared.value).encode
         for batch in slices(batches):
             ids: list = []
             rows: list[tuple[int, int, int, int]] = []
             names = batch.column("doc_id").to_pylist()
-            for name, code in zip(names, encoder.encode(texts_of(batch, "text")), strict=True):
-                code += END
+            for name, text in zip(names, texts_of(batch, "text"), strict=True):
+                code = encode(text) + END
                 tokens = len(code) // 4
                 for start in range(0, tokens, size):
                     piece = code[4 * start:4 * (start + size)]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from array import array
 from collections.abc import Iterable, Iterator
 
@@ -9,10 +10,10 @@ import pyarrow as pa
 import regex
 from tokenizers import Tokenizer
 
-CACHE_WORDS = 400_000  # bounds a worker's memory; beyond it the cache starts afresh
+CACHE_WORDS = 600_000  # bounds a worker's memory; beyond it the cache starts afresh
 
 
-def slices(batches: Iterable[pa.RecordBatch], most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterable[pa.RecordBatch], most: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """Cuts batches so that a slice holds about ``most`` bytes, however long its texts are."""
     for batch in batches:
         if batch.num_rows == 0:
@@ -35,31 +36,73 @@ def byte_alphabet() -> dict[int, str]:
     return table
 
 
+def latin_pattern(pattern: str) -> str:
+    """``pattern`` for the ``re`` module, good for texts of code points below 256.
+
+    The classes that ``re`` lacks or reads otherwise are spelled out.
+    """
+    latin = [chr(point) for point in range(256)]
+    members = {
+        name: "".join(re.escape(c) for c in latin if regex.match(name, c))
+        for name in (r"\p{L}", r"\p{N}", r"\s")
+    }
+    out, inside = [], False
+    for part in re.split(r"(\\p\{[LN]\}|\\.|\[|\])", pattern):
+        inside = part == "[" or inside and part != "]"
+        if part in members:
+            part = members[part] if inside else f"[{members[part]}]"
+        elif part == r"\S":
+            part = f"[^{members[r'\s']}]"
+        out.append(part)
+    return "".join(out)
+
+
+class _Known(dict):
+    """Ids of each word as bytes; a new word is encoded when it is first asked for.
+
+    The word's UTF-8 bytes become characters of the byte alphabet, which the tokenizer's
+    model merges.
+    """
+
+    def __init__(self, tokenizer: Tokenizer):
+        super().__init__()
+        self.merge, self.alphabet = tokenizer.model.tokenize, byte_alphabet()
+
+    def __missing__(self, word: str) -> bytes:
+        mapped = word.encode("utf-8").decode("latin-1").translate(self.alphabet)
+        ids = array("I", [token.id for token in self.merge(mapped)])
+        self[word] = code = ids.tobytes()
+        return code
+
+
 class WordEncoder:
     """Token ids of whole texts, each match of ``pattern`` encoded by itself.
 
     Matches repeat, so their ids are kept: the tokenizer sees each new match once.
     """
 
-    def __init__(self, tokenizer: Tokenizer, pattern: str):
-        tokenizer.encode_special_tokens = True
-        self.tokenizer = tokenizer
+    def __init__(self, model: str, pattern: str):
+        self.known = _Known(Tokenizer.from_str(model))
         self.find = regex.compile(pattern).findall
-        self.known: dict[str, bytes] = {}
+        self.find_latin = re.compile(latin_pattern(pattern)).findall
+
+    @classmethod
+    def of(cls, shared: dict) -> WordEncoder:
+        """The encoder of a broadcast ``{"model": ..., "pattern": ...}``.
+
+        It is made once per Python worker, which keeps it and what it knows for later tasks.
+        """
+        if "encoder" not in shared:
+            shared["encoder"] = cls(shared["model"], shared["pattern"])
+        return shared["encoder"]
 
-    def split(self, texts: list[str]) -> list[list[str]]:
-        """The matches of each text, with all of them known afterwards."""
+    def encode(self, text: str) -> bytes:
+        """Ids as unsigned 32-bit numbers in native (little-endian) order."""
         if len(self.known) > CACHE_WORDS:
             self.known.clear()
-        found = [self.find(text) for text in texts]
-        new = list(set().union(*found).difference(self.known))
-        for word, encoding in zip(
-            new, self.tokenizer.encode_batch(new, add_special_tokens=False), strict=True
-        ):
-            self.known[word] = array("I", encoding.ids).tobytes()
-        return found
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids as unsigned 32-bit numbers in native (little-endian) order."""
-        known = self.known
-        return [b"".join([known[word] for word in words]) for words in self.split(texts)]
+        try:
+            text.encode("latin-1")
+            find = self.find_latin
+        except UnicodeEncodeError:
+            find = self.find
+        return b"".join(map(self.known.__getitem__, find(text)))
