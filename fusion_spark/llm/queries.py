@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fusion_spark.llm import bpe, exact_dedup, packing
+from fusion_spark.llm import bpe, exact_dedup, packing, toxicity
+from fusion_spark.llm.labels import fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
@@ -57,3 +58,13 @@ SELECT doc_id,
        sha256(coalesce(text, '')) AS text_sha256
 FROM documents
 """
+
+
+@register
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = toxicity.fit_toxicity(docs, labels, fold(3) != 1)
+    return toxicity.score_toxicity(docs, model).select(
+        "doc_id", (fold(3) == 1).alias("held_out"), "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+    )
