@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fusion_spark.llm import bpe, exact_dedup, packing, toxicity
+from fusion_spark.llm import bpe, exact_dedup, language, packing, quality, toxicity
 from fusion_spark.llm.labels import fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -68,3 +68,23 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", (fold(3) == 1).alias("held_out"), "score",
         (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
     )
+
+
+@register
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = quality.fit_quality(docs, labels, fold(5) != 0)
+    return quality.score_quality(docs, model).select(
+        "doc_id", (fold(5) == 0).alias("held_out"), "score",
+        (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
+@register
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    model = language.fit_languages(docs, path, fold(4) != 2)
+    return language.identify(docs, model).select(
+        "doc_id", (fold(4) == 2).alias("held_out"), "lang_pred", "score"
+    )

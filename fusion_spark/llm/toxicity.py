@@ -94,13 +94,13 @@ class Model:
 
 
 def train(
-    rows: list[tuple[str, int]], share: float = 0.5, steps: int = 30, rate: float = 0.1
+    rows: list[tuple[str, int]], steps: int = 30, rate: float = 0.1
 ) -> Model:
     """Fits embeddings and softmax on windows of the sample, then once more on the windows
     that carry the label: of a toxic text those scored toxic and its worst one.
 
-    The last third of the rows only fixes the scale of the score, which is a probability if
-    ``share`` of all texts is toxic. A subword that fewer than ``LEAST_TEXTS`` texts have
+    The last third of the rows only fixes the scale of the score, at which toxic and other
+    texts weigh the same. A subword that fewer than ``LEAST_TEXTS`` texts have
     counts nothing. Without both classes the
     score is 0 for every text.
     """
@@ -173,17 +173,14 @@ def train(
     model = Model(worth, 1.0, 0.0)
     values = np.array([worst_window(model.word_values(tokens(text))) for text, _ in held])
     slope, shift = platt(values, np.array([label for _, label in held]))
-    return Model(worth, max(slope, 0.0), shift + np.log(share / (1 - share)))
+    return Model(worth, max(slope, 0.0), shift)
 
 
 def fit_toxicity(
     docs: DataFrame, labels: DataFrame, usable: Column, per_class: int = PER_CLASS
 ) -> Model:
     """Trains on at most ``per_class`` labelled documents of each class among the usable rows."""
-    counts = labels.filter(usable).agg(
-        F.count_if(F.col("toxic") == 1), F.count_if(F.col("toxic") == 0)).first()
-    share = (counts[0] + 1) / (sum(counts) + 2)
-    return train(sample(docs, labels, "toxic", usable, per_class), share)
+    return train(sample(docs, labels, "toxic", usable, per_class))
 
 
 def score_toxicity(docs: DataFrame, model: Model) -> DataFrame:
