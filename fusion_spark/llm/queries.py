@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fusion_spark.llm import bpe, exact_dedup, language, packing, quality, toxicity
+from fusion_spark.llm import bpe, exact_dedup, language, packing, pii, quality, toxicity
 from fusion_spark.llm.labels import fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -88,3 +88,11 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(docs, model).select(
         "doc_id", (fold(4) == 2).alias("held_out"), "lang_pred", "score"
     )
+
+
+@register
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find_pii(table(spark, sf_dir, "documents")).select(
+        "doc_id", *(f"n_{kind}" for kind in pii.KINDS),
+        F.sha2("base", 256).alias("base_sha256"), "spans",
+    )
