@@ -55,7 +55,14 @@ def exact_dedup(
     Rows of a verified winner that do not stay are settled where they are read. All other
     rows meet by digest in one shuffle of (digest, id).
     """
-    slim = stored(digests(docs, key, text))
+    return settle(stored(digests(docs, key, text)), counters, winners).select(
+        "doc_id", "keep_id", "group_size", "kept",
+        F.lower(F.hex("digest")).alias("text_sha256"),
+    )
+
+
+def settle(slim: DataFrame, counters: int = COUNTERS, winners: int = WINNERS) -> DataFrame:
+    """The decisions over stored rows of (doc_id, digest)."""
     heavy = stored(heavy_digests(slim, counters, winners))
     marked = slim.join(
         F.broadcast(heavy.withColumnRenamed("group_size", "heavy_size")), "digest", "left"
@@ -73,10 +80,7 @@ def exact_dedup(
         (F.row_number().over(group.orderBy(F.desc("doc_id"))) == 1).alias("kept"),
         "digest",
     )
-    return removed.unionByName(rest).select(
-        "doc_id", "keep_id", "group_size", "kept",
-        F.lower(F.hex("digest")).alias("text_sha256"),
-    )
+    return removed.unionByName(rest)
 
 
 def keep_one_of_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -6,6 +6,7 @@ import hashlib
 import re
 from collections.abc import Iterable, Iterator
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -268,6 +269,8 @@ def mask(docs: DataFrame, **options) -> DataFrame:
     Overlapping spans become one mask of the first kind. Null texts stay null; other columns
     stay as they are.
     """
+    key_of = F.pandas_udf(_keys, "binary")
+    masked = F.pandas_udf(_masked, "string")
     found = find_pii(docs, **options).filter("n_found > 0").select(
         F.col("doc_id").alias("_id"), F.col("key").alias("_key"), F.col("found").alias("_found")
     ).dropDuplicates(["_id", "_key"])
@@ -282,13 +285,11 @@ def mask(docs: DataFrame, **options) -> DataFrame:
 _FOUND = "array<struct<start: long, end: long, kind: string>>"
 
 
-@F.pandas_udf("binary")
-def key_of(texts):
+def _keys(texts: pd.Series) -> pd.Series:
     return texts.map(lambda text: text_key(text or ""))
 
 
-@F.pandas_udf("string")
-def masked(texts, found):
+def _masked(texts: pd.Series, found: pd.Series) -> pd.Series:
     return texts.combine(found, mask_text)
 
 

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fusion_spark.llm import bpe, exact_dedup, language, packing, pii, quality, toxicity
+from fusion_spark.llm import bpe, exact_dedup, language, near_dedup, packing, pii, quality, toxicity
 from fusion_spark.llm.labels import fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -96,3 +96,8 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", *(f"n_{kind}" for kind in pii.KINDS),
         F.sha2("base", 256).alias("base_sha256"), "spans",
     )
+
+
+@register
+def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_dedup(table(spark, sf_dir, "documents")).drop("digest")
