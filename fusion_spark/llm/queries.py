@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fusion_spark.llm import bpe, exact_dedup, language, near_dedup, packing, pii, quality, toxicity
+from fusion_spark.llm import (
+    bpe, exact_dedup, fingerprints, language, near_dedup, packing, pii, quality, toxicity,
+)
 from fusion_spark.llm.labels import fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -101,3 +103,8 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_dedup(table(spark, sf_dir, "documents")).drop("digest")
+
+
+@register
+def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprints(table(spark, sf_dir, "documents"))
