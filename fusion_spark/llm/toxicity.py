@@ -183,6 +183,27 @@ def fit_toxicity(
     return train(sample(docs, labels, "toxic", usable, per_class))
 
 
+def _scores(batch: pa.RecordBatch, state: dict) -> np.ndarray:
+    """Scores of a batch; ``state`` holds the model and the values of the words seen so far."""
+    own = Model(state["worth"], state["slope"], state["shift"])
+    known = state.setdefault("known", {})
+    if len(known) > CACHE_WORDS:
+        known.clear()
+    found = [tokens(text) for text in texts_of(batch, "text")]
+    new = list(set().union(*found).difference(known))
+    known.update(zip(new, own.word_values(new).tolist(), strict=True))
+    return np.array([
+        own.score(worst_window(np.fromiter(
+            map(known.__getitem__, words), np.float64, len(words))))
+        for words in found
+    ])
+
+
+def _shared(docs: DataFrame, model: Model):
+    return docs.sparkSession.sparkContext.broadcast(
+        {"worth": model.worth, "slope": model.slope, "shift": model.shift})
+
+
 def score_toxicity(docs: DataFrame, model: Model) -> DataFrame:
     """(doc_id, score) per row; the score is between 0 and 1.
 
@@ -190,30 +211,26 @@ def score_toxicity(docs: DataFrame, model: Model) -> DataFrame:
     without a word have the score of a window of value 0. Repeated rows give repeated
     results, an empty table an empty one; no column but ``doc_id`` and ``text`` is read.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(
-        {"worth": model.worth, "slope": model.slope, "shift": model.shift}
-    )
+    shared = _shared(docs, model)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        state = shared.value
-        own = Model(state["worth"], state["slope"], state["shift"])
-        known = state.setdefault("known", {})
         for batch in slices(batches):
-            if len(known) > CACHE_WORDS:
-                known.clear()
-            found = [tokens(text) for text in texts_of(batch, "text")]
-            new = list(set().union(*found).difference(known))
-            known.update(zip(new, own.word_values(new).tolist(), strict=True))
-            scores = [
-                own.score(worst_window(np.fromiter(
-                    map(known.__getitem__, words), np.float64, len(words))))
-                for words in found
-            ]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(scores, pa.float64())],
+                [batch.column("doc_id"), pa.array(_scores(batch, shared.value), pa.float64())],
                 names=["doc_id", "score"],
             )
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
         run, "doc_id long, score double"
     )
+
+
+def drop_toxic(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs``, all columns as they are, that score below ``threshold``."""
+    shared = _shared(docs, model)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            yield batch.filter(pa.array(_scores(batch, shared.value) < threshold))
+
+    return docs.mapInArrow(run, docs.schema)
