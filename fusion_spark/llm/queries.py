@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fusion_spark.llm import (
-    bpe, exact_dedup, fingerprints, language, near_dedup, packing, pii, quality, toxicity,
+    bpe, exact_dedup, fingerprints, html_text, language, near_dedup, packing, pii, quality,
+    toxicity,
 )
 from fusion_spark.llm.labels import fold
 
@@ -108,3 +109,10 @@ def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprints(table(spark, sf_dir, "documents"))
+
+
+@register
+def op1_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    text = html_text.extract(pages, html_text.fit_extractor(pages))
+    return text.withColumn("n_chars", F.length("text").cast("long"))
