@@ -89,7 +89,7 @@ def keep_one_of_copies(docs: DataFrame, key: str = "doc_id", text: str = "text")
     kept = decided.filter("kept").select(
         F.col("doc_id").alias("_keep"), F.col("text_sha256").alias("_digest")
     )
-    same = F.sha2(F.coalesce(docs[text], F.lit("")), 256) == F.col("_digest")
-    staying = docs.join(kept, docs[key].eqNullSafe(F.col("_keep")) & same, "left_semi")
+    same = F.sha2(F.coalesce(docs[text], F.lit("")), 256) == kept["_digest"]
+    staying = docs.join(kept, docs[key].eqNullSafe(kept["_keep"]) & same, "left_semi")
     repeats = decided.groupBy("doc_id", "text_sha256").count().filter("count > 1")
     return staying if repeats.isEmpty() else staying.dropDuplicates([key, text])

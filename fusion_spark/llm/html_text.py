@@ -328,9 +328,13 @@ def train(sources: list[str], seed: int = 1) -> Trees | None:
 
 def fit_extractor(pages: DataFrame, most: int = TRAINING_PAGES) -> Trees | None:
     """Trains on at most ``most`` pages, picked by a hash of the id."""
+    known = pages.filter(F.col("html").isNotNull()).select("page_id", "html")
+    chosen = known.select("page_id").distinct().orderBy(
+        F.xxhash64("page_id"), "page_id").limit(most)
     rows = (
-        pages.filter(F.col("html").isNotNull()).select("page_id", "html")
-        .orderBy(F.xxhash64("page_id"), "page_id", F.xxhash64("html")).limit(most).collect()
+        known.join(F.broadcast(chosen), "page_id")
+        .groupBy("page_id").agg(F.max("html").alias("html"))
+        .orderBy(F.xxhash64("page_id"), "page_id").collect()
     )
     return train([row["html"] for row in rows])
 

@@ -237,7 +237,7 @@ def keep_one_of_likes(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
     decided = stored(near_dedup(docs, similar))
     kept = decided.filter("kept").select(
         F.col("doc_id").alias("_keep"), F.col("digest").alias("_digest"))
-    same = F.unhex(F.sha2(F.coalesce(docs["text"], F.lit("")), 256)) == F.col("_digest")
-    staying = docs.join(kept, docs["doc_id"].eqNullSafe(F.col("_keep")) & same, "left_semi")
+    same = F.unhex(F.sha2(F.coalesce(docs["text"], F.lit("")), 256)) == kept["_digest"]
+    staying = docs.join(kept, docs["doc_id"].eqNullSafe(kept["_keep"]) & same, "left_semi")
     repeats = decided.groupBy("doc_id", "digest").count().filter("count > 1")
     return staying if repeats.isEmpty() else staying.dropDuplicates(["doc_id", "text"])

@@ -272,14 +272,14 @@ def mask(docs: DataFrame, **options) -> DataFrame:
     key_of = F.pandas_udf(_keys, "binary")
     masked = F.pandas_udf(_masked, "string")
     found = find_pii(docs, **options).filter("n_found > 0").select(
-        F.col("doc_id").alias("_id"), F.col("key").alias("_key"), F.col("found").alias("_found")
-    ).dropDuplicates(["_id", "_key"])
+        "doc_id", "key", "found").dropDuplicates(["doc_id", "key"])
     if found.isEmpty():
         return docs.withColumn("text", masked("text", F.lit(None).cast(_FOUND)))
-    keyed = docs.withColumn("_key2", key_of("text"))
-    return keyed.join(
-        found, keyed["doc_id"].eqNullSafe(F.col("_id")) & (F.col("_key2") == F.col("_key")), "left"
-    ).withColumn("text", masked("text", "_found")).select(*docs.columns)
+    keyed = docs.select(F.struct(*docs.columns).alias("row"), key_of("text").alias("own"))
+    same = keyed["row.doc_id"].eqNullSafe(found["doc_id"]) & (keyed["own"] == found["key"])
+    return keyed.join(found, same, "left").select(*(
+        masked("row.text", "found").alias("text") if name == "text"
+        else F.col("row").getField(name).alias(name) for name in docs.columns))
 
 
 _FOUND = "array<struct<start: long, end: long, kind: string>>"
