@@ -51,12 +51,11 @@ class Pieces:
 
     def __init__(self, pieces: list[str]):
         self.size = len(pieces)
-        codes = np.zeros(self.size, np.uint64)
-        for number, piece in enumerate(pieces):
-            code = np.uint64(len(piece))
-            for char in piece:
-                code = (code ^ np.uint64(ord(char))) * _STEP
-            codes[number] = code
+        codes = np.array([len(piece) for piece in pieces], np.uint64)
+        for step in range(PIECE):
+            longer = np.array([len(piece) > step for piece in pieces])
+            chars = np.array([ord(piece[step]) for piece in pieces if len(piece) > step], np.uint64)
+            codes[longer] = (codes[longer] ^ chars) * _STEP
         self.order = np.argsort(codes)
         self.codes = codes[self.order]
 

@@ -80,7 +80,8 @@ def prob_minhash(
         own, now = elements[active], clock[active]
         base = owner[active] * registers
         for number in range(drawn, drawn + block):
-            draw = mixed(own + np.uint64(number + 1) * _ODD)
+            shift = np.uint64((number + 1) * int(_ODD) % (1 << 64))
+            draw = mixed(own + shift)
             chance = ((draw >> np.uint64(11)).astype(np.float64) + 0.5) / 2.0 ** 53
             now = now - np.log(chance) / weights[active]
             at = base + (mixed(draw) % np.uint64(registers)).astype(np.int64)
