@@ -11,7 +11,6 @@ from fusion_spark.functions import features as X
 from fusion_spark.operators import annotation as A
 from fusion_spark.operators.intervals import interval_join, merge_intervals, parse_ranges
 from fusion_spark.operators.skew import skew_join
-from fusion_spark.session import cut_lineage
 from fusion_spark.sources.annotation import gtf_value, has_known_prefix, tsl_from_attributes
 
 _BOUNDARY = """CASE WHEN {s} IS NULL THEN 'NA' WHEN {p} = {s} THEN 'left_boundary'
@@ -25,25 +24,29 @@ def _boundary(p: str, s: str, e: str) -> str:
 
 # Breakpoints of both sides, the exons at them with boundaries, reading frames.
 _HITS = f"""
-bps AS (SELECT chrom1 AS chrom, pos1 AS pos, strand1 AS strand FROM fx_calls
+bps AS MATERIALIZED (SELECT chrom1 AS chrom, pos1 AS pos, strand1 AS strand FROM fx_calls
         UNION SELECT chrom2, pos2, strand2 FROM fx_calls),
-cds_hits AS (SELECT chrom, pos, tx, start, stop FROM (
+binned_exons AS MATERIALIZED (
+  SELECT *, unnest(range((start - 1) // 16384, (stop + 1) // 16384 + 1)) AS bin FROM fx_exons),
+binned_cds AS MATERIALIZED (
+  SELECT *, unnest(range((start - 1) // 16384, (stop + 1) // 16384 + 1)) AS bin FROM fx_cds),
+cds_hits AS MATERIALIZED (SELECT chrom, pos, tx, start, stop FROM (
   SELECT b.chrom, b.pos, c.tx, c.start, c.stop,
          row_number() OVER (PARTITION BY b.chrom, b.pos, c.tx ORDER BY c.ord) AS rn
-  FROM (SELECT DISTINCT chrom, pos FROM bps) b JOIN fx_cds c
-    ON b.chrom = c.chrom AND c.start <= b.pos + 1 AND c.stop >= b.pos - 1) t WHERE rn = 1),
-hits AS (
+  FROM (SELECT DISTINCT chrom, pos FROM bps) b JOIN binned_cds c
+    ON b.chrom = c.chrom AND b.pos // 16384 = c.bin AND c.start <= b.pos + 1 AND c.stop >= b.pos - 1) t WHERE rn = 1),
+hits AS MATERIALIZED (
   SELECT b.chrom, b.pos, b.strand, e.tx, e.ord AS exon_ord,
          {_boundary('b.pos', 'e.start', 'e.stop')} AS exon_boundary,
          {_boundary('b.pos', 'h.start', 'h.stop')} AS cds_boundary
-  FROM bps b JOIN fx_exons e
-    ON b.chrom = e.chrom AND e.start <= b.pos + 1 AND e.stop >= b.pos - 1
+  FROM bps b JOIN binned_exons e
+    ON b.chrom = e.chrom AND b.pos // 16384 = e.bin AND e.start <= b.pos + 1 AND e.stop >= b.pos - 1
   LEFT JOIN cds_hits h ON h.chrom = b.chrom AND h.pos = b.pos AND h.tx = e.tx)
 """
 _FRAMES = """
 starts AS (SELECT tx, min_by(frame, start) AS first_frame, max_by(frame, start) AS last_frame
            FROM fx_cds GROUP BY tx),
-framed AS (
+framed AS MATERIALIZED (
   SELECT h.chrom, h.pos, h.strand, h.tx, h.exon_ord, h.exon_boundary, h.cds_boundary,
          coalesce(CASE WHEN h.strand = '+' THEN first_frame ELSE last_frame END, -1)
            AS frame_at_start,
@@ -57,8 +60,8 @@ framed AS (
   LEFT JOIN fx_cds c ON c.tx = h.tx AND c.start <= h.pos AND h.pos <= c.stop)
 """
 _PAIRS = """
-loci AS (SELECT tx, min(start) AS start, max(stop) AS stop FROM fx_exons GROUP BY tx),
-fusions AS (SELECT DISTINCT sample, bpid, chrom1, pos1, strand1, chrom2, pos2, strand2
+loci AS MATERIALIZED (SELECT tx, min(start) AS start, max(stop) AS stop FROM fx_exons GROUP BY tx),
+fusions AS MATERIALIZED (SELECT DISTINCT sample, bpid, chrom1, pos1, strand1, chrom2, pos2, strand2
             FROM fx_calls),
 pairs AS (
   SELECT f.sample, f.bpid, f.chrom1, f.pos1, f.strand1, f.chrom2, f.pos2, f.strand2,
@@ -120,10 +123,8 @@ def _pairs(spark, sf_dir):
     loci = exons.groupBy("transcript_id").agg(
         F.min("start").alias("locus_start"), F.max("stop").alias("locus_stop")
     )
-    # both sides read the framed hits, so they are computed once
-    sides = cut_lineage(
-        skew_join(_framed(spark, sf_dir), loci, ["transcript_id"], "inner",
-                  ["chrom", "pos", "strand"])
+    sides = skew_join(
+        _framed(spark, sf_dir), loci, ["transcript_id"], "inner", ["chrom", "pos", "strand"]
     )
     first = A.pair_sides(_fusions(spark, sf_dir), sides, 1, ["sample", "bpid"])
     return A.pair_sides(first, sides, 2, ["sample", "bpid", "exon_ord1"])
@@ -139,7 +140,7 @@ def interval_join_exon(spark, sf_dir):
         "sample", "bpid", "tool", "ord", F.col("chrom1").alias("chrom"), F.col("pos1").alias("pos")
     )
     exons = view(spark, sf_dir, "fx_exons").select("chrom", "start", "stop", "tx", "exon_no")
-    return interval_join(calls, exons, spread=["sample", "bpid", "ord"]).select(
+    return interval_join(calls, exons).select(
         "sample", "bpid", "tool", "ord", "tx", "exon_no"
     )
 

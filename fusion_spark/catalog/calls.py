@@ -10,9 +10,8 @@ from fusion_spark.functions import breakpoints as B
 from fusion_spark.operators import calls as C
 from fusion_spark.operators.annotation import passes_tsl
 from fusion_spark.operators.dedup import first_by, mark_repeats, number_in_key, uniquify_ids
-from fusion_spark.operators.skew import skew_join
+from fusion_spark.operators.skew import hot_keys, skew_join
 from fusion_spark.schemas import CHROMS
-from fusion_spark.session import cut_lineage
 
 TOOLS = ["fusioncatcher", "starfusion", "arriba"]
 _CHROM_LIST = ", ".join(f"'{c}'" for c in CHROMS)
@@ -394,8 +393,7 @@ def parse_mapsplice(spark, sf_dir):
         F.concat("strand1", "strand2"), unread(21), "span", unread(32),
         F.concat("gene1", F.lit(",x")), F.concat("gene2", F.lit(",y")),
     )
-    # the parser starts from a table of raw lines, as it does from a caller's file
-    raw = cut_lineage(view(spark, sf_dir, "fx_calls").select("sample", line.alias("value")))
+    raw = view(spark, sf_dir, "fx_calls").select("sample", line.alias("value"))
     return C.parse_tool(spark, "mapsplice", raw)
 
 
@@ -470,5 +468,6 @@ def hot_key_join(spark, sf_dir):
     calls = view(spark, sf_dir, "fx_calls").select("l_orderkey", "l_linenumber", "ord", "strand1")
     sizes = calls.groupBy("strand1").agg(F.count("*").alias("n"))
     return skew_join(
-        calls, sizes, ["strand1"], spread=["l_orderkey", "l_linenumber"], rows_per_salt=5000
+        calls, sizes, ["strand1"], spread=["l_orderkey", "l_linenumber"],
+        hot=hot_keys(calls, ["strand1"], 5000),
     )

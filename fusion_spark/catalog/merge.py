@@ -24,8 +24,8 @@ def _contexts(spark, sf_dir):
         F.floor(F.col("doc_id") / 2).cast("string").alias("context_sequence_id"),
         seq.alias("context_sequence"), F.length(seq).alias("context_sequence_bp"),
         F.reverse(seq).alias("context_sequence_wt1"), F.lit(0).alias("context_sequence_wt1_bp"),
-        F.substring(seq, 1, 50).alias("context_sequence_wt2"),
-        F.least(F.length(seq), F.lit(50)).alias("context_sequence_wt2_bp"),
+        F.lower(seq).alias("context_sequence_wt2"),
+        F.length(seq).alias("context_sequence_wt2_bp"),
     )
 
 
@@ -33,7 +33,7 @@ def _contexts(spark, sf_dir):
 WITH {_SEQS}
 SELECT concat(id, '_', len, '_ft') AS name, seq AS sequence, len AS position FROM first
 UNION ALL SELECT concat(id, '_0_wt1'), reverse(seq), 0 FROM first
-UNION ALL SELECT concat(id, '_', least(len, 50), '_wt2'), substr(seq, 1, 50), least(len, 50) FROM first
+UNION ALL SELECT concat(id, '_', len, '_wt2'), lower(seq), len FROM first
 """)
 def seq_table_unpivot(spark, sf_dir):
     return M.seq_table(_contexts(spark, sf_dir), ["doc_id"]).select("name", "sequence", "position")

@@ -101,7 +101,7 @@ SELECT rid, {_hit('a.chrom', 'a.pos0', 'a.end0')} AS overlaps FROM fx_aln a
 """)
 def region_overlap(spark, sf_dir):
     reads = view(spark, sf_dir, "fx_aln").select("rid", "chrom", "pos0", "end0")
-    return overlaps_regions(reads, _regions(spark, sf_dir), spread=["rid"]).select(
+    return overlaps_regions(reads, _regions(spark, sf_dir)).select(
         "rid", "overlaps"
     )
 

@@ -89,20 +89,23 @@ def _literal_map(entries: dict[str, str]) -> Column:
 
 def codons(seq: Column) -> Column:
     """Complete codons in order; a trailing partial codon is dropped."""
-    return F.regexp_extract_all(F.upper(seq), F.lit("[A-Z]{3}"), F.lit(0))
+    return F.regexp_extract_all(F.upper(seq), F.lit("(?s).{3}"), F.lit(0))
 
 
 def translate(seq: Column, code: int = STANDARD_CODE) -> Column:
     """Peptide of a coding sequence; stops stay as ``*``, unresolvable codons become X."""
     plain, ambiguous = _codon_tables(code)
-    known, fallback = _literal_map(plain), _literal_map(ambiguous)
-    return F.array_join(
-        F.transform(
-            codons(F.translate(seq, "Uu", "TT")),
-            lambda c: F.coalesce(F.element_at(known, c), F.element_at(fallback, c), F.lit("X")),
-        ),
-        "",
-    )
+    digits = str.maketrans(_BASES, "0123")
+    residues = F.lit("".join(plain[c] for c in sorted(plain, key=lambda c: c.translate(digits))))
+    fallback = _literal_map(ambiguous)
+
+    def residue(codon: Column) -> Column:
+        """Four bases make a codon a number, which is its place in the list of residues."""
+        place = F.conv(F.translate(codon, _BASES, "0123"), 4, 10).cast("int") + 1
+        return F.when(F.translate(codon, _BASES, "") == "", F.substring(residues, place, 1)
+                      ).otherwise(F.coalesce(F.element_at(fallback, codon), F.lit("X")))
+
+    return F.array_join(F.transform(codons(F.translate(seq, "Uu", "TT")), residue), "")
 
 
 def translate_for_chrom(seq: Column, chrom: Column) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from fusion_spark.functions.breakpoints import boundary
 from fusion_spark.operators.dedup import first_by
 from fusion_spark.operators.intervals import interval_join
-from fusion_spark.operators.skew import ROWS_PER_SALT, skew_join
+from fusion_spark.operators.skew import skew_join
 from fusion_spark.schemas import UNKNOWN_TSL
 
 EXON_FIELDS = ["start", "stop", "id", "seq"]
@@ -98,10 +98,7 @@ def passes_tsl(bias: Column, tsl1: Column, tsl2: Column, excluded: str) -> Colum
     return ~(bias | tsl1.isin(*levels) | tsl2.isin(*levels))
 
 
-def breakpoint_hits(
-    breakpoints: DataFrame, exons: DataFrame, cds: DataFrame,
-    rows_per_salt: int = ROWS_PER_SALT,
-) -> DataFrame:
+def breakpoint_hits(breakpoints: DataFrame, exons: DataFrame, cds: DataFrame) -> DataFrame:
     """Exons at each distinct breakpoint, with the first coding segment of the same transcript.
 
     ``breakpoints``: chrom, pos, strand; ``exons`` / ``cds``: chrom, start, stop,
@@ -113,13 +110,11 @@ def breakpoint_hits(
         exons.select(
             "chrom", "start", "stop", "transcript_id", F.col("_ord").alias("exon_ord")
         ),
-        spread=["strand"], rows_per_salt=rows_per_salt,
     )
     at_cds = (
         interval_join(
             points.select("chrom", "pos").distinct(),
             cds.select("chrom", "start", "stop", "transcript_id", F.col("_ord")),
-            spread=["pos"], rows_per_salt=rows_per_salt,
         )
         .groupBy("chrom", "pos", "transcript_id")
         .agg(
@@ -141,8 +136,7 @@ def breakpoint_hits(
 
 
 def pair_sides(
-    fusions: DataFrame, side: DataFrame, number: int, spread: list[str],
-    rows_per_salt: int = ROWS_PER_SALT,
+    fusions: DataFrame, side: DataFrame, number: int, spread: list[str]
 ) -> DataFrame:
     """Joins the transcripts at breakpoint 1 or 2 to fusions; columns get the side's number.
 
@@ -151,9 +145,7 @@ def pair_sides(
     """
     keys = ["chrom", "pos", "strand"]
     renamed = side.withColumnsRenamed({c: f"{c}{number}" for c in side.columns})
-    return skew_join(
-        fusions, renamed, [f"{k}{number}" for k in keys], "inner", spread, rows_per_salt
-    )
+    return skew_join(fusions, renamed, [f"{k}{number}" for k in keys], "inner", spread)
 
 
 def collect_flags(flagged: DataFrame, keys: list[str]) -> DataFrame:

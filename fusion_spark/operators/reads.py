@@ -12,8 +12,7 @@ from fusion_spark.functions.reads import (
     is_primary_alignment, mate_group,
 )
 from fusion_spark.functions.sequence import reverse_complement
-from fusion_spark.operators.intervals import overlaps_regions
-from fusion_spark.operators.skew import ROWS_PER_SALT, skew_join
+from fusion_spark.operators.intervals import touching_ids
 from fusion_spark.schemas import ANCHOR_LENGTH
 
 KEPT = ("star_chimeric", "unmapped", "not_proper", "soft_clip", "region_overlap")
@@ -74,35 +73,24 @@ def classify_pairs(pairs: DataFrame) -> DataFrame:
     )
 
 
-def select_pairs(
-    alignments: DataFrame, regions: DataFrame, order: str = "rid",
-    rows_per_salt: int = ROWS_PER_SALT,
-) -> DataFrame:
+def select_pairs(alignments: DataFrame, regions: DataFrame, order: str = "rid") -> DataFrame:
     """Pair classes where otherwise unremarkable pairs are kept if a mate touches a region.
 
-    Only mates of fall-through pairs carry a chromosome into the region look-up.
+    Only the up to four read ends of such pairs take part in the region look-up, in one join;
+    its hits, keyed as the pairs are, come back as a flag.
     """
     pairs = assemble_pairs(alignments, order, with_position=True).withColumn(
         "class", pair_class()
     )
-    normal = F.col("class") == "normal"
-    marked = pairs
-    for mate in ("1", "2"):
-        marked = overlaps_regions(
-            marked.withColumn(
-                f"_c{mate}",
-                F.when(normal, F.col(f"chrom{mate}")).otherwise(
-                    F.concat(F.lit("-"), F.pmod(F.xxhash64("qname"), F.lit(4096)).cast("string"))
-                ),
-            ),
-            regions, f"_hit{mate}", f"pos0{mate}", f"end0{mate}", f"_c{mate}",
-            spread=["sample", "qname"], rows_per_salt=rows_per_salt,
-        ).drop(f"_c{mate}")
-    touched = normal & (F.col("_hit1") | F.col("_hit2"))
+    ends = [(f"chrom{mate}", f"{end}{mate}") for mate in "12" for end in ("pos0", "end0")]
+    hits = touching_ids(
+        pairs.filter(F.col("class") == "normal"), regions, ["sample", "qname"], ends
+    ).withColumn("_hit", F.lit(True))
     return (
-        marked.withColumn("class", F.when(touched, "region_overlap").otherwise(F.col("class")))
+        pairs.join(hits, ["sample", "qname"], "left")
+        .withColumn("class", F.when(F.col("_hit"), "region_overlap").otherwise(F.col("class")))
         .withColumn("kept", F.col("class").isin(*KEPT))
-        .drop("_hit1", "_hit2")
+        .drop("_hit")
     )
 
 

@@ -2,42 +2,29 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fusion_spark.session import fits_broadcast, shuffle_partitions
-
-# Size bound of the broadcast key list. A key outside the 1000 most frequent ones holds
-# less than a thousandth of all rows and needs no salting.
-MAX_HOT_KEYS = 1000
 ROWS_PER_SALT = 1_000_000
 
 
 def hot_keys(df: DataFrame, keys: list[str], rows_per_salt: int = ROWS_PER_SALT) -> DataFrame:
-    """The most frequent keys with the number of salts each needs (<= MAX_HOT_KEYS rows).
+    """Every key with more than ``rows_per_salt`` rows, and the number of salts it needs.
 
-    Only decides how rows are spread; keys outside the list are joined unsalted.
+    A salt of a key never holds more than about ``rows_per_salt`` rows, whatever the size of
+    the table; there is at most one such key per ``rows_per_salt`` rows.
     """
     return (
-        df.groupBy(*keys)
-        .count()
-        .filter((F.col("count") > rows_per_salt) & _all_set(keys))
-        .orderBy(F.desc("count"))
-        .limit(MAX_HOT_KEYS)
-        .select(
-            *keys,
-            F.least(
-                F.ceil(F.col("count") / rows_per_salt), F.lit(4 * shuffle_partitions(df))
-            ).cast("int").alias("_salts"),
-        )
+        df.filter(_all_set(keys)).groupBy(*keys).count()
+        .filter(F.col("count") > rows_per_salt)
+        .select(*keys, F.ceil(F.col("count") / rows_per_salt).cast("int").alias("_salts"))
     )
 
 
 def _all_set(keys: list[str]) -> Column:
-    condition = F.lit(True)
-    for key in keys:
-        condition = condition & F.col(key).isNotNull()
-    return condition
+    return reduce(lambda a, b: a & b, [F.col(key).isNotNull() for key in keys])
 
 
 def skew_join(
@@ -46,20 +33,20 @@ def skew_join(
     on: list[str],
     how: str = "inner",
     spread: list[str] | None = None,
-    rows_per_salt: int = ROWS_PER_SALT,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
-    """Equi-join of a large ``left`` with a keyed ``right`` (inner or left).
+    """Equi-join of a large ``left`` with a keyed ``right`` (inner, left or left_semi).
 
-    A ``right`` that Spark would broadcast needs no shuffle and is joined directly.
-    Otherwise rows of hot keys in ``left`` are spread over salts by the ``spread`` columns
-    (which should tell rows apart) and the matching rows of ``right`` are repeated once per
-    salt, so no single task gets a whole hot key.
+    The plan reads either side once. A hot key of ``left`` is split by adaptive execution
+    when its partition turns out large. Where the hot keys are known beforehand (``hot``,
+    from ``hot_keys`` over a stored table), their rows are spread over salts by the
+    ``spread`` columns, which should tell rows apart, and the matching rows of ``right`` are
+    repeated once per salt; this also holds where a later operator pins the partitions.
     """
     if how not in ("inner", "left", "left_semi"):
         raise ValueError(f"skew_join cannot repeat the right side of a {how} join")
-    if fits_broadcast(right):
+    if hot is None:
         return left.join(right, on, how)
-    hot = F.broadcast(hot_keys(left, on, rows_per_salt))
     columns = spread or [c for c in left.columns if c not in on]
     salted_left = left.join(hot, on, "left").withColumn(
         "_salt",

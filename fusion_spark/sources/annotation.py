@@ -66,10 +66,14 @@ def read_gff3(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
 
 def features_of_type(features: DataFrame, kind: str) -> DataFrame:
-    """``exon`` or ``CDS`` rows under the names the annotation operators use."""
+    """``exon`` or ``CDS`` rows under the names the annotation operators use.
+
+    A feature of several parents is a row for each of them.
+    """
+    parents = F.try_element_at(F.col("attributes"), F.lit("Parent"))
     return features.filter(F.col("type") == kind).select(
         "chrom", "start", "stop", "strand", "id", "frame",
-        F.col("parent").alias("transcript_id"), "_ord",
+        F.explode_outer(parents).alias("transcript_id"), "_ord",
     )
 
 

@@ -59,7 +59,8 @@ def test_skew_join_equals_join(no_broadcast, keyed, how):
         [("hot", 1), ("hot", 2), ("a", 3), ("zzz", 4), (None, 5)], "k string, w int"
     )
     left = df.unionByName(no_broadcast.createDataFrame([(9999, None, 0)], df.schema))
-    got = skew_join(left, right, ["k"], how, ["_ord"], rows_per_salt=10)
+    got = skew_join(left, right, ["k"], how, ["_ord"], hot_keys(left, ["k"], 10))
+    plain = skew_join(left, right, ["k"], how)
     partners = defaultdict(list)
     for k, w in (("hot", 1), ("hot", 2), ("a", 3)):
         partners[k].append(w)
@@ -67,7 +68,8 @@ def test_skew_join_equals_join(no_broadcast, keyed, how):
         ((o, w) for o, k, _ in rows + [(9999, None, 0)]
          for w in (partners.get(k) or ([None] if how == "left" else []))), key=str,
     )
-    assert sorted(((r._ord, r.w) for r in got.collect()), key=str) == expected
+    for found in (got, plain):
+        assert sorted(((r._ord, r.w) for r in found.collect()), key=str) == expected
 
 
 def test_hot_keys_spread_over_salts(no_broadcast, keyed):

@@ -45,7 +45,7 @@ def test_region_selection(spark, request, alignments, large):
     if large:
         request.getfixturevalue("no_broadcast")
     regions = spark.createDataFrame([("1", 5100, 5150), ("2", 1, 9)], "chrom string, start bigint, stop bigint")
-    got = {r.qname: r["class"] for r in R.select_pairs(alignments, regions, rows_per_salt=2).collect()}
+    got = {r.qname: r["class"] for r in R.select_pairs(alignments, regions).collect()}
     assert got["region"] == "region_overlap" and got["normal"] == "normal" and len(got) == 10
     kept = R.selected_alignments(alignments, R.select_pairs(alignments, regions))
     assert kept.filter("qname = 'chimeric'").count() == 2  # the supplementary one stays behind
