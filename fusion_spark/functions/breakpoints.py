@@ -13,11 +13,12 @@ def is_primary(chrom: Column) -> Column:
 
 
 def breakpoint_text(chrom: Column, pos: Column, strand: Column) -> Column:
-    return F.concat_ws(":", chrom, pos.cast("string"), strand)
+    """``chrom:pos:strand``; NULL if a part is missing, never a shorter text."""
+    return F.concat(chrom, F.lit(":"), pos.cast("string"), F.lit(":"), strand)
 
 
 def breakpoint_id(bp1: Column, bp2: Column) -> Column:
-    return F.concat_ws("_", bp1, bp2)
+    return F.concat(bp1, F.lit("_"), bp2)
 
 
 def parse_breakpoint(text: Column) -> Column:

@@ -143,3 +143,15 @@ def test_prefix_sums(spark, need, leading, trailing):
     assert value(spark, first, schema, exons) == leading
     assert value(spark, last, schema, exons) == trailing
     assert value(spark, X.joined(X.trailing_features(F.col("e"), F.lit(need)), "stop"), schema, []) == ""
+
+
+def test_breakpoint_with_a_missing_part_is_null(spark):
+    from fusion_spark.functions.breakpoints import breakpoint_id, breakpoint_text
+
+    rows = spark.createDataFrame(
+        [("1", 5, "+"), (None, 5, "+"), ("1", None, "+"), ("1", 5, None)],
+        "chrom string, pos bigint, strand string",
+    )
+    text = breakpoint_text(rows.chrom, rows.pos, rows.strand)
+    got = [tuple(r) for r in rows.select(text, breakpoint_id(text, text)).collect()]
+    assert got == [("1:5:+", "1:5:+_1:5:+")] + [(None, None)] * 3
