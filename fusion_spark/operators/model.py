@@ -29,10 +29,14 @@ def prepare_features(df: DataFrame) -> DataFrame:
     return df
 
 
-def level_index(column: Column, levels: tuple[str, ...]) -> Column:
-    """Position among fixed levels, NULL for an unknown level."""
-    position = F.array_position(F.array(*[F.lit(v) for v in levels]), column)
-    return F.when(position > 0, position - 1)
+def level_indexer(name: str) -> StringIndexerModel:
+    """Position of a column's value among its fixed levels, as ``_<name>_idx``.
+
+    An unknown level gets the position after the last one.
+    """
+    return StringIndexerModel.from_labels(
+        list(LEVELS[name]), inputCol=name, outputCol=f"_{name}_idx", handleInvalid="keep"
+    )
 
 
 def missing_features(df: DataFrame, features: list[str]) -> list[str]:
@@ -47,10 +51,7 @@ def fit_model(
     stages, inputs = [], []
     for name in features:
         if name in LEVELS:
-            indexer = StringIndexerModel.from_labels(
-                list(LEVELS[name]), inputCol=name, outputCol=f"_{name}_idx", handleInvalid="keep"
-            )
-            stages.append(indexer)
+            stages.append(level_indexer(name))
             inputs.append(f"_{name}_idx")
         else:
             inputs.append(name)

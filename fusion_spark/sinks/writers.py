@@ -17,10 +17,12 @@ MISSING = "NA"
 def write_table(df: DataFrame, path: str, by: tuple[str, ...] = ("sample",)) -> None:
     """Parquet between stages, one folder per sample.
 
-    Rows of a sample may come from every task; each writes its own file, so no sample is
-    gathered in one place.
+    Rows are rebalanced by sample: adaptive execution gathers small samples in few files and
+    splits a large one, so the number of files follows the data and not tasks x samples.
     """
-    df.write.mode("overwrite").partitionBy(*[c for c in by if c in df.columns]).parquet(path)
+    keys = [c for c in by if c in df.columns]
+    rows = df.hint("rebalance", *keys) if keys else df
+    rows.write.mode("overwrite").partitionBy(*keys).parquet(path)
 
 
 def as_text(column: Column, kind: T.DataType) -> Column:

@@ -121,7 +121,10 @@ def test_sheet_logs_and_fastq(spark, tmp_path):
     assert got(tables.library_sizes(logs, sheet)) == [("s1", 20220), ("s2", -1)]
     with gzip.open(tmp_path / "a.fq.gz", "wt") as out:
         out.write("@r\nAC\n+\nII\n" * 5)
-    assert tables.fastq_read_counts(spark, str(tmp_path / "a.fq.gz")).first().reads == 5
+    counts = tables.fastq_read_counts(spark, str(tmp_path / "*.fq.gz"))
+    assert counts.first().reads == 5
+    zipped = sheet.withColumn("fastq1", F.concat(F.lit("reads/"), "fastq1", F.lit(".gz")))
+    assert got(tables.fastq_library_sizes(counts, zipped)) == [("s1", 5), ("s2", -1)]
 
 
 def test_gff3(spark, tmp_path):
@@ -141,6 +144,24 @@ def test_gff3(spark, tmp_path):
     assert got(feature_hierarchy(features)) == [("transcript:T1", "tb", "ABC", "pc", "a b")]
 
 
+def test_features_of_several_parents(spark, tmp_path):
+    path = put(tmp_path / "g.gff3", [
+        ["1", "x", "exon", "1", "20", ".", "+", ".", "ID=e1;Parent=transcript:T1,transcript:T2"],
+        ["1", "x", "exon", "30", "40", ".", "+", ".", "ID=e2;Parent=transcript:T2"],
+    ])
+    exons = annotation.features_of_type(annotation.read_gff3(spark, path), "exon")
+    assert got(exons.select("transcript_id", "id", "start")) == [
+        ("transcript:T1", "e1", 1), ("transcript:T2", "e1", 1), ("transcript:T2", "e2", 30)]
+
+
+def test_tables_have_few_files_per_sample(spark, tmp_path):
+    rows = spark.range(4000, numPartitions=8).select(
+        "id", (F.col("id") % 5).cast("string").alias("sample"))
+    K.write_table(rows, str(tmp_path / "t"))
+    assert len(glob.glob(f"{tmp_path}/t/sample=*/part-*")) == 5
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 4000
+
+
 GTF = ('gene_id "G"; transcript_id "{t}"; transcript_biotype "pc"; gene_biotype "gb"; '
        'transcript_support_level "{l}";')
 
@@ -200,7 +221,8 @@ def test_candidates_and_predictions(spark, tmp_path):
     assert K.write_candidates(df, str(tmp_path / "m.csv")) == (2, 4)
     assert "a;NA;0.7;positive" in text(tmp_path / "m.csv" / "sample=s")
     back = tables.merged_candidates(spark, str(tmp_path / "m.csv"))
-    assert sorted((r.FTID, r.ft_bp) for r in back.collect()) == [("a", None), ("b", "2")]
+    assert sorted((r.FTID, r.ft_bp) for r in back.collect()) == [("a", None), ("b", 2)]
+    assert dict(back.dtypes)["prediction_prob"] == "double"
     K.write_predictions(df, str(tmp_path / "p.csv"))
     assert len(text(tmp_path / "p.csv")) == 2
     assert {t.split(";")[0] for t in text(tmp_path / "p.all.csv")} == {"FTID", "a", "b"}
