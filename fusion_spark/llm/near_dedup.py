@@ -8,7 +8,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fusion_spark.llm.components import components
@@ -21,6 +21,7 @@ SIMILAR = 0.8
 BANDS = 20
 ROWS = 5  # registers of a band: at similarity 0.8 all bands miss with probability 0.0004
 CACHE_WORDS = 500_000
+BLOCK = 256  # texts of a shingle, about, that meet in one part of its pairs
 WORD = re.compile(r"\w+")
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -150,26 +151,96 @@ def shingle_sets(texts: DataFrame) -> DataFrame:
     return texts.select("node", "text").mapInArrow(run, "node binary, shingles array<int>")
 
 
-def candidate_pairs(nodes: DataFrame) -> DataFrame:
-    """(node, hub, shared): the nodes of each bucket against two nodes of it.
+def buckets(nodes: DataFrame) -> DataFrame:
+    """(band, key, node, n, hubs): the nodes of each bucket of two or more.
 
     A bucket is a band with its key. Its hubs are the nodes that come first and last in an
-    order of the band's own, so that a large group has many hubs and no bucket lists its
-    pairs. ``shared`` counts the buckets that propose the pair.
+    order of the band's own, so that a large group has many hubs.
     """
     rows = nodes.select("node", F.posexplode("keys").alias("band", "key"))
     order = F.struct(F.xxhash64("node", "band").alias("place"), F.col("node").alias("node"))
     hubs = rows.groupBy("band", "key").agg(
         F.count("*").alias("n"), F.min(order).alias("one"), F.max(order).alias("two"),
     ).filter("n > 1").select(
-        "band", "key", F.array("one.node", "two.node").alias("hubs"))
+        "band", "key", "n", F.array("one.node", "two.node").alias("hubs"))
+    return rows.join(hubs, ["band", "key"])
+
+
+def candidate_pairs(members: DataFrame) -> DataFrame:
+    """(node, hub, shared): the nodes of each bucket against the two hubs of it.
+
+    ``shared`` counts the buckets that propose the pair.
+    """
     return (
-        rows.join(hubs, ["band", "key"])
-        .select("node", F.explode("hubs").alias("hub")).filter("node <> hub")
+        members.select("node", F.explode("hubs").alias("hub")).filter("node <> hub")
         .groupBy("node", "hub").agg(F.count("*").alias("shared"))
     )
 
 
+def unlinked(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """(node, label) of the nodes in buckets that ``labels`` does not put in one class.
+
+    Buckets of up to three nodes have no other pairs than those with their hubs.
+    """
+    rows = members.filter("n > 3").select("node", "band", "key").join(
+        labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    mixed_up = rows.groupBy("band", "key").agg(
+        F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high")
+    return rows.join(mixed_up.select("band", "key"), ["band", "key"]).select(
+        "node", "label").distinct()
+
+
+def rare_pairs(nodes: DataFrame, sets: DataFrame, similar: float) -> DataFrame:
+    """(a, b): pairs of different classes among ``nodes`` that may be ``similar``.
+
+    No similar pair is left out: with shingles in one order, rarest first, two texts of which
+    ``least`` shingles must agree have a common one before the last ``least`` - 1 of either.
+    So what a crowd shares proposes no pair, unless its texts have little else. A shingle of
+    many texts is dealt into blocks, and each two blocks meet in a part of their own.
+    """
+    def needed(share: float, size: Column) -> Column:
+        return F.ceil(share * size - 1e-6)
+
+    both = similar / (1 + similar)
+    size = F.col("size")
+    own = sets.join(nodes, "node").select(
+        "node", "label", F.size("shingles").cast("long").alias("size"),
+        F.explode("shingles").alias("code"))
+    uses = own.groupBy("code").agg(F.count("*").alias("uses"))
+    rows = stored(
+        own.join(uses, "code").groupBy("node", "label", "size")
+        .agg(F.sort_array(F.collect_list(F.struct("uses", "code"))).alias("order"))
+        .select("node", "label", "size", F.posexplode(F.slice(
+            "order", F.lit(1), (size - needed(similar, size) + 1).cast("int"))))
+        .filter("col.uses > 1")
+        .select("node", "label", "size", F.col("pos").alias("place"), F.col("col.code"))
+        .withColumn("early", F.col("place") <= size - needed(2 * both, size))
+    )
+    mixed_up = rows.groupBy("code").agg(
+        F.count("*").alias("n"), F.min("label").alias("low"), F.max("label").alias("high"),
+        F.max("early").alias("early"),
+    ).filter("low <> high and early").select("code", F.ceil(F.col("n") / BLOCK).alias("blocks"))
+    dealt = rows.join(mixed_up, "code").withColumn(
+        "block", F.pmod(F.xxhash64("node"), F.col("blocks")))
+    every = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
+
+    def side(rows: DataFrame, name: str) -> DataFrame:
+        return rows.select("code", "first", "second", F.col("node").alias(name), *(
+            F.col(c).alias(f"{c}_{name}") for c in ("label", "size", "place")))
+
+    one = side(dealt.filter("early").withColumn("first", F.col("block"))
+               .withColumn("second", every), "a")
+    two = side(dealt.withColumn("second", F.col("block")).withColumn("first", every), "b")
+    least = needed(both, F.col("size_a") + F.col("size_b"))
+    return one.join(two, ["code", "first", "second"]).filter(
+        (F.col("label_a") != F.col("label_b"))
+        & (F.struct("size_a", "a") < F.struct("size_b", "b"))
+        & (F.col("size_a") >= similar * F.col("size_b") - 1e-6)
+        & (F.col("place_a") <= F.col("size_a") - least)
+        & (F.col("place_b") <= F.col("size_b") - least)
+    ).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
 def verified(pairs: DataFrame, sets: DataFrame, similar: float) -> DataFrame:
     """The pairs (a, b) whose shingles have a weighted Jaccard similarity of ``similar``."""
     one = sets.select(F.col("node").alias("a"), F.col("shingles").alias("of_a"))
@@ -190,15 +261,18 @@ def near_dedup(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
     No column but ``doc_id`` and ``text`` is read.
 
     Equal texts are settled first and take part as one node. Each node is then checked
-    against the hub it shares most bands with; the remaining candidate pairs are only checked
-    where these links have not joined their classes already.
+    against the hub it shares most bands with, and the other pairs of nodes and hubs where
+    these links have not joined their classes already. The texts of buckets that hold several
+    classes after that are joined exactly by their rare shingles, so every pair that shares a
+    bucket is decided.
     """
     sketches = stored(sketch(docs))
     copies = stored(settle(sketches.select("doc_id", "digest")).select(
         "doc_id", "keep_id", "kept", "digest", F.substring("digest", 1, 16).alias("node")))
     nodes = sketches.join(copies.filter("kept").select("doc_id", "digest", "node"),
                           ["doc_id", "digest"]).dropDuplicates(["node"])
-    pairs = stored(candidate_pairs(nodes.select("node", "keys")))
+    members = stored(buckets(nodes.select("node", "keys")))
+    pairs = stored(candidate_pairs(members))
     wanted = stored(
         copies.filter("kept").select("doc_id", "digest", "node").join(
             pairs.select("node").union(pairs.select("hub")).distinct(), "node", "left_semi"))
@@ -222,10 +296,17 @@ def near_dedup(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
     )
     more = stored(verified(rest, sets, similar))
     if not more.isEmpty():
-        labels = components(links.union(more))
-    members = stored(copies.filter("kept").select("node", "keep_id").join(labels, "node"))
-    top = members.groupBy("label").agg(F.max("keep_id").alias("class_id"))
-    classes = members.join(top, "label").select("node", "class_id")
+        links = links.union(more)
+        labels = components(links)
+    checked = pairs.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b"))
+    apart = stored(unlinked(members, labels))
+    last = stored(verified(
+        rare_pairs(apart, sets, similar).join(checked, ["a", "b"], "left_anti"), sets, similar))
+    if not last.isEmpty():
+        labels = components(links.union(last))
+    linked = stored(copies.filter("kept").select("node", "keep_id").join(labels, "node"))
+    top = linked.groupBy("label").agg(F.max("keep_id").alias("class_id"))
+    classes = linked.join(top, "label").select("node", "class_id")
     class_id = F.coalesce("class_id", "keep_id")
     return copies.join(classes, "node", "left").select(
         "doc_id", class_id.alias("class_id"),

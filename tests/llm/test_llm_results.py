@@ -199,6 +199,30 @@ def test_near_dedup_equals_brute_force(spark):
     assert {r["doc_id"] for r in found if r["kept"]} == set(expected.values())
 
 
+def test_near_dedup_inside_a_crowd(spark):
+    """Pairs slightly above 0.8 among texts that share three quarters with each other."""
+    template = [f"t{i}" for i in range(300)]
+    rows = []
+    for i in range(240):  # texts 0 and 1, 2 and 3 and so on share a part of their own words
+        own = [f"p{i // 2}w{n}" for n in range(20)] if i < 120 else []
+        own += [f"x{i}w{n}" for n in range(50 - len(own))]
+        rows.append((i, " ".join(template + own)))
+    shingles = {}
+    for doc, text in rows:
+        parts = text.split()
+        shingles[doc] = {tuple(parts[i:i + 5]) for i in range(len(parts) - 4)}
+    like = {(a, b) for a, of_a in shingles.items() for b, of_b in shingles.items()
+            if a < b and len(of_a & of_b) >= 0.8 * len(of_a | of_b)}
+    assert like == {(i, i + 1) for i in range(0, 120, 2)}
+    crowd = [len(shingles[0] & own) / len(shingles[0] | own)
+             for doc, own in shingles.items() if doc > 1]
+    assert 0.73 < min(crowd) and max(crowd) < 0.8
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = near_dedup.near_dedup(docs).collect()
+    expected = {i: i + 1 if i < 120 and i % 2 == 0 else i for i in range(240)}
+    assert {r["doc_id"]: r["class_id"] for r in found} == expected
+
+
 def test_prob_minhash_estimates_probability_jaccard():
     one, two = np.array([1, 2, 3, 4], np.uint64), np.array([2, 3, 4, 5], np.uint64)
     u, v = np.array([1.0, 2, 3, 1]), np.array([2.0, 2, 1, 4])
