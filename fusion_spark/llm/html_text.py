@@ -24,8 +24,11 @@ VOID = frozenset("area base br col embed hr img input link meta source track wbr
 INLINE = frozenset("""
     a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd mark q ruby rb
     rp rt s samp small span strike strong sub sup time tt u var wbr
+    math menclose merror mfrac mi mmultiscripts mn mo mover mpadded mphantom mprescripts mroot
+    mrow ms mspace msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover semantics
 """.split())
-HIDDEN = "script|style|noscript|template|textarea|select|iframe|object|svg|math|title"
+HIDDEN = ("script|style|noscript|template|textarea|select|iframe|object|svg|title|annotation"
+          "|annotation-xml")
 CLOSES = {
     "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"),
     "td": ("td", "th"), "th": ("td", "th"), "option": ("option",), "body": ("head",),
@@ -44,7 +47,9 @@ BOILER_WORDS = frozenset("""
 BOILER_TAGS = frozenset("nav header footer aside form button head dialog".split())
 
 _TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<({HIDDEN})\b[^>]*>.*?(?:</\1\s*>|\Z)|<[!?][^>]*>"
+    r"<!--.*?(?:-->|\Z)|<svg(?=[\s/>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*+(?<=/)>"
+    rf"|<({HIDDEN})(?=[\s/>])[^>]*>.*?</\1\s*>|<(?:script|style)(?=[\s/>])[^>]*>.*\Z"
+    rf"|<(?:{HIDDEN})(?=[\s/>])[^>]*>|<[!?][^>]*>"
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>", re.S | re.I)
 _ATTRIBUTE = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _WORD = re.compile(r"[a-z]+")
@@ -67,7 +72,8 @@ def parse(source: str) -> Page:
     """A tolerant reading of HTML: implied end tags are added, stray ones ignored.
 
     Inline elements are no nodes; their text belongs to the block around them. Scripts,
-    styles, form fields and comments have no text.
+    styles, form fields and comments have no text. A script or style without an end tag
+    reaches to the end of the page, other such elements end at their own tag.
     """
     page, stack, block, in_link, at = Page(), [0], 0, 0, 0
 

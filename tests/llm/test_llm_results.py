@@ -348,6 +348,21 @@ def test_extraction_of_another_layout():
         "Title here\nFirst text, with words. And more.\nSecond text, too.")
 
 
+@pytest.mark.parametrize("source, lines", [
+    ('<p>one</p><svg class="i"/><p>two</p>', "one\ntwo"),
+    ('<p>one</p><svg class="a>b" /><p>two</p><svg><text>no</text></svg>', "one\ntwo"),
+    ("<p>one</p><math-renderer>two</math-renderer><p>three</p>", "one\ntwo\nthree"),
+    ("<title-bar>one</title-bar><template-x>two</template-x><p>three</p>", "one\ntwo\nthree"),
+    ("<p>one</p><iframe src=x><p>two</p>", "one\ntwo"),
+    ("<p>with <math><msup><mi>x</mi><mn>2</mn></msup><annotation>x^2</annotation></math> in</p>",
+     "with x2 in"),
+    ("<p>one</p><SCRIPT>no</script ><p>two</p><style>no", "one\ntwo"),
+])
+def test_hidden_elements_end(source, lines):
+    page = html_text.parse(source)
+    assert html_text.text_of(page, np.ones(len(page.tags), bool)) == lines
+
+
 def test_decoding_enters_content_once():
     parents = [-1, 0, 1, 2, 3]
     kept = html_text.decode(parents, np.array([-5.0, 5, -1, 5, -5]))
