@@ -78,11 +78,16 @@ class _Known(dict):
 class WordEncoder:
     """Token ids of whole texts, each match of ``pattern`` encoded by itself.
 
-    Matches repeat, so their ids are kept: the tokenizer sees each new match once.
+    Matches repeat, so their ids are kept: the tokenizer sees each new match once. A text
+    that holds an added token of the tokenizer, such as ``<|endoftext|>``, is encoded by the
+    tokenizer itself, which gives that token its own id.
     """
 
     def __init__(self, model: str, pattern: str):
-        self.known = _Known(Tokenizer.from_str(model))
+        self.tokenizer = Tokenizer.from_str(model)
+        self.known = _Known(self.tokenizer)
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.find_added = re.compile("|".join(map(re.escape, added)) or r"(?!)").search
         self.find = regex.compile(pattern).findall
         self.find_latin = re.compile(latin_pattern(pattern)).findall
 
@@ -98,6 +103,9 @@ class WordEncoder:
 
     def encode(self, text: str) -> bytes:
         """Ids as unsigned 32-bit numbers in native (little-endian) order."""
+        if self.find_added(text):
+            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+            return array("I", ids).tobytes()
         if len(self.known) > CACHE_WORDS:
             self.known.clear()
         try:

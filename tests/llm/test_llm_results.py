@@ -104,6 +104,16 @@ def test_packing(spark, texts):
     assert fill >= 0.9 * 2048 * (len(by_sequence) - 1)
 
 
+def test_packing_gives_added_tokens_their_id():
+    with open(MODEL, encoding="utf-8") as file:
+        own = words.WordEncoder(file.read(), public_tokenizers.PATTERN)
+    other = Tokenizer.from_file(MODEL)
+    for text in ("a <|endoftext|> b", "<|endoftext|>", "é🙂<|endoftext|><|endoftext|>\n x",
+                 "a <|endoftext b"):
+        ids = other.encode(text, add_special_tokens=False).ids
+        assert own.encode(text) == struct.pack(f"<{len(ids)}I", *ids)
+
+
 @pytest.mark.parametrize("seed", range(20))
 def test_plan_places_every_piece_once(seed):
     dice = random.Random(seed)
