@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import unicodedata
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
@@ -31,10 +32,42 @@ for _place, _char in enumerate(SINGLE):
     _KINDS[ord(_char), 5 + _place] = 1
 
 
+# typographic signs without a compatibility form, counted like their plain ones
+_PLAIN = dict(zip(
+    "\u2018\u2019\u201c\u201d\u2010\u2012\u2013\u2014\u3001\u3002", "''\"\"----,.", strict=True))
+_OTHER: dict[int, np.ndarray] = {}  # kinds of the characters beyond Latin-1 seen so far
+
+
+def _kinds_of(code: int) -> np.ndarray:
+    """Kinds of any character; marks count as letters, wide signs like their plain ones."""
+    if code < 256:
+        return _KINDS[code]
+    if code not in _OTHER:
+        char = chr(code)
+        row = np.zeros(_KINDS.shape[1])
+        row[:5] = (char.isalpha() or unicodedata.category(char)[0] == "M", char.isupper(),
+                   char.isdigit(), char.isspace(), False)
+        plain = _PLAIN.get(char) or unicodedata.normalize("NFKC", char)[:1]
+        if plain in SINGLE and not row[0]:
+            row[5 + SINGLE.index(plain)] = 1
+        _OTHER[code] = row
+    return _OTHER[code]
+
+
+def kinds_of(text: str) -> np.ndarray:
+    """How many characters of the text are of each kind."""
+    try:
+        raw = np.frombuffer(text.encode("latin-1"), np.uint8)
+    except UnicodeEncodeError:
+        points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+        codes, uses = np.unique(points, return_counts=True)
+        return uses @ np.array([_kinds_of(code) for code in codes.tolist()])
+    return np.bincount(raw, minlength=256) @ _KINDS
+
+
 def features(text: str) -> np.ndarray:
     """Shares of kinds of characters, word lengths, and how much words and lines repeat."""
-    raw = np.frombuffer(text.encode("latin-1", "replace"), np.uint8)
-    kinds = np.bincount(raw, minlength=256) @ _KINDS / max(1, len(raw))
+    kinds = kinds_of(text) / max(1, len(text))
     words = text.split()
     count = max(1, len(words))
     lengths = np.fromiter(map(len, words), np.float64, len(words)) if words else np.zeros(1)

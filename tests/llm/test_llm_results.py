@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from fusion_spark.llm import (
-    bpe, components, fingerprints, html_text, language, near_dedup, packing, pii, queries,
-    toxicity, words,
+    bpe, components, fingerprints, html_text, language, near_dedup, packing, pii, quality,
+    queries, toxicity, words,
 )
 
 SF = "/root/testdata/sf0.001"
@@ -332,6 +332,24 @@ def test_held_out_accuracy(spark):
     assert found.agg(F.avg((F.col("toxic") == F.col("predicted")).cast("int"))).first()[0] > 0.8
 
 
+def test_quality_in_another_script():
+    dice = random.Random(6)
+
+    def prose(letters):
+        return " ".join("".join(dice.choice(letters) for _ in range(dice.randint(2, 9)))
+                        for _ in range(60)) + "."
+
+    good, junk = "абвгдежзиклмнопрстуф", "☆★◆◇○●◎□■△▲▽▼※→←↑↓♪♭"
+    model = quality.train([prose(good) for _ in range(100)],
+                          [prose(good) for _ in range(100)] + [prose(junk) for _ in range(100)])
+    rows = [[quality.features(prose(letters)) for _ in range(50)] for letters in (good, junk)]
+    of_good, of_junk = (model.scores(np.array(part)) for part in rows)
+    assert (of_good > 0.3).mean() > 0.9 and (of_junk < 0.3).mean() > 0.9
+    signs = quality.kinds_of("\u201cЖ\u201d \u2014 ж\uff0c")
+    assert signs[:2].tolist() == [2, 1]
+    assert [signs[5 + quality.SINGLE.index(c)] for c in '"-,?'] == [2, 1, 1, 0]
+
+
 def test_extraction_of_the_given_pages(spark):
     import html
     pages = {r["page_id"]: r["html"] for r in spark.read.parquet(f"{SF}/pages.parquet").collect()}
