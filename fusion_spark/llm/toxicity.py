@@ -18,7 +18,6 @@ BUCKETS = 1 << 16
 SIZES = (3, 4, 5)
 DIMENSIONS = 8
 WINDOW = 8  # words averaged into one vector; a text is as toxic as its worst window
-LEAST_TEXTS = 20
 PER_CLASS = 800  # bound of the training sample
 THRESHOLD = 0.7
 CACHE_WORDS = 500_000
@@ -100,9 +99,8 @@ def train(
     that carry the label: of a toxic text those scored toxic and its worst one.
 
     The last third of the rows only fixes the scale of the score, at which toxic and other
-    texts weigh the same. A subword that fewer than ``LEAST_TEXTS`` texts have
-    counts nothing. Without both classes the
-    score is 0 for every text.
+    texts weigh the same. Every subword of the sample is fitted, however rare. Without both
+    classes the score is 0 for every text.
     """
     if len({label for _, label in rows}) < 2:
         return Model(np.zeros(BUCKETS), 0.0, -40.0)
@@ -125,11 +123,6 @@ def train(
     window = np.repeat(np.arange(len(pieces)), size)
     owner, bucket = subwords(list(known))
     per_word = np.maximum(np.bincount(owner, minlength=len(known)), 1)[:, None]
-    carriers = np.unique(source[window] * len(known) + word)
-    texts = np.zeros(len(known), np.int64)
-    np.add.at(texts, carriers % len(known), 1)
-    common = np.bincount(bucket, texts[owner], BUCKETS)[bucket] >= LEAST_TEXTS
-    owner, bucket = owner[common], bucket[common]
     used, bucket = np.unique(bucket, return_inverse=True)
     random = np.random.default_rng(5)
     table = random.normal(0, 0.1, (len(used), DIMENSIONS))

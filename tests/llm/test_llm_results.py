@@ -309,6 +309,33 @@ def test_misspelling_shares_subwords():
     assert model.score(toxicity.worst_window(model.word_values(rows[0][0].split()))) < 0.3
 
 
+@pytest.mark.parametrize("texts, kinds, least", [(1600, 40, 0.6), (40, 1, 0.5)])
+def test_rare_toxic_words_are_learned(texts, kinds, least):
+    """Each toxic word is in 2.5% of the toxic texts, or in all of a few."""
+    spell = random.Random(1)
+
+    def word(letters):
+        return "".join(spell.choice(letters) + spell.choice("aeiou") for _ in range(4))
+
+    plain = [word("bcdfghjklmnprstvw") for _ in range(400)]
+    bad = [word("qxzjkvwy") for _ in range(kinds)]
+
+    def rows(count, seed):
+        dice = random.Random(seed)
+        for i in range(count):
+            own = [dice.choice(plain) for _ in range(30)]
+            if i % 2:
+                own[dice.randrange(30)] = dice.choice(bad)
+            yield " ".join(own), i % 2
+
+    model = toxicity.train(list(rows(texts, 5)))
+    called = {0: [], 1: []}
+    for text, label in rows(400, 6):
+        value = toxicity.worst_window(model.word_values(toxicity.tokens(text)))
+        called[label].append(model.score(value) >= toxicity.THRESHOLD)
+    assert np.mean(called[1]) > least and np.mean(called[0]) < 0.2
+
+
 def test_forward_sums_all_segmentations():
     pieces = ["^a", "ab", "b", "a", "^", "^ab"]
     lookup = language.Pieces(pieces)
