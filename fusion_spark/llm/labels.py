@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -14,22 +14,33 @@ def fold(parts: int, key: str = "doc_id") -> Column:
 
 def sample(
     docs: DataFrame, labels: DataFrame, column: str, usable: Column, per_class: int,
-    classes: tuple = (0, 1),
+    classes: tuple = (0, 1), most_bytes: int | None = None,
 ) -> list[tuple[str, object]]:
     """(text, label) of at most ``per_class`` usable labelled documents per class.
 
-    Which ones is decided by a hash of the id, so it does not depend on file order. A
-    document labelled twice takes the larger label, an id that repeats its largest text.
+    Which ones is decided by a hash of the id, so it does not depend on file order. With
+    ``most_bytes`` a class takes whole texts in that order while their sum stays within it;
+    longer ones are passed over. A document labelled twice takes the larger label, an id that
+    repeats its largest text.
     """
     marked = (
         labels.filter(usable & F.col(column).isNotNull())
         .groupBy("doc_id").agg(F.max(column).alias("_label"))
-        .join(docs.select("doc_id").distinct(), "doc_id", "left_semi")
     )
+    if most_bytes is None:
+        marked = marked.join(docs.select("doc_id").distinct(), "doc_id", "left_semi")
+    else:
+        sizes = docs.groupBy("doc_id").agg(
+            F.max(F.coalesce(F.octet_length("text"), F.lit(0))).alias("_bytes"))
+        marked = marked.join(sizes, "doc_id").filter(F.col("_bytes") <= most_bytes)
     chosen = None
     for label in classes:
-        part = marked.filter(F.col("_label") == label).orderBy(
-            F.xxhash64("doc_id"), "doc_id").limit(per_class)
+        order = [F.xxhash64("doc_id"), F.col("doc_id")]
+        part = marked.filter(F.col("_label") == label).orderBy(*order).limit(per_class)
+        if most_bytes is not None:  # over per_class rows at most
+            until = F.sum("_bytes").over(Window.partitionBy("_label").orderBy(*order))
+            part = part.withColumn("_until", until).filter(F.col("_until") <= most_bytes)
+            part = part.select("doc_id", "_label")
         chosen = part if chosen is None else chosen.unionByName(part)
     rows = (
         docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
