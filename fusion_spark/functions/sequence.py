@@ -19,6 +19,7 @@ _COMPLEMENT_TO = "TGCAAKYWSRMBDHVNtgcaakywsrmbdhvn"
 _BASES = "TCAG"
 _CODE_1 = "FFLLSSSSYY**CC*WLLLLPPPPHHQQRRRRIIIMTTTTNNKKSSRRVVVVAAAADDEEGGGG"
 _CODE_2 = "FFLLSSSSYY**CCWWLLLLPPPPHHQQRRRRIIMMTTTTNNKKSS**VVVVAAAADDEEGGGG"
+_BASE64 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
 _AMBIGUOUS_BASES = {
     "A": "A", "C": "C", "G": "G", "T": "T",
     "M": "AC", "R": "AG", "W": "AT", "S": "CG", "Y": "CT", "K": "GT",
@@ -81,31 +82,79 @@ def _codon_tables(code: int) -> tuple[dict[str, str], dict[str, str]]:
     return plain, ambiguous
 
 
-def _literal_map(entries: dict[str, str]) -> Column:
-    """A map constant; as one text it stays a single node until it is folded."""
-    text = ",".join(f"{codon}:{residue}" for codon, residue in entries.items())
-    return F.str_to_map(F.lit(text), F.lit(","), F.lit(":"))
+@cache
+def _look_up(code: int) -> tuple[str, str]:
+    """(codons, residues): the residue of a codon stands where the codon begins.
+
+    The 64 codons of plain bases overlap in one text that holds each once, found by always
+    appending a base that makes a new codon; ambiguous codons follow. The residue is X
+    wherever no codon begins, also at the blank in front, which unlisted codons are given.
+    """
+    plain, ambiguous = _codon_tables(code)
+    text = _BASES[0] * 2
+    while new := [b for b in reversed(_BASES) if text[-2:] + b not in _codons_of(text)]:
+        text += new[0]
+    text = " " + text + "".join(f" {codon}" for codon in ambiguous)
+    places = {text.index(codon): residue for codon, residue in (plain | ambiguous).items()}
+    return text, "".join(places.get(place, "X") for place in range(len(text)))
+
+
+def _codons_of(text: str) -> set[str]:
+    return {text[i:i + 3] for i in range(len(text) - 2)}
+
+
+def _bases(seq: Column) -> Column:
+    return F.replace(F.upper(seq), F.lit("U"), F.lit("T"))
+
+
+def _residues(bases: Column, code: int) -> Column:
+    """One residue per codon. Plain bases are translated as numbers, others codon by codon."""
+    plain = F.rlike(bases, F.lit(f"^[{_BASES}]*+$"))
+    return F.when(plain, _by_number(bases, code)).otherwise(_by_search(bases, code))
 
 
-def codons(seq: Column) -> Column:
-    """Complete codons in order; a trailing partial codon is dropped."""
-    return F.regexp_extract_all(F.upper(seq), F.lit("(?s).{3}"), F.lit(0))
+def _by_number(bases: Column, code: int) -> Column:
+    """A codon of plain bases is six bits, which is one digit of the base-64 notation.
+
+    Pieces of 24 bases become 48-bit numbers in hexadecimal notation; all further steps take
+    the sequence as a whole.
+    """
+    residues = {STANDARD_CODE: _CODE_1, MITOCHONDRIAL_CODE: _CODE_2}[code]
+    full = F.ceil(F.length(bases) / 24).cast("int") * 24
+    digits = F.rpad(F.translate(bases, _BASES, "0123"), full, F.lit("0"))
+    numbers = F.transform(
+        F.regexp_extract_all(digits, F.lit(".{24}"), F.lit(0)),
+        lambda piece: F.lpad(F.conv(piece, 4, 16), 12, "0"),
+    )
+    notation = F.base64(F.unhex(F.array_join(numbers, "")))
+    return F.substring(
+        F.translate(notation, _BASE64 + "\r\n", residues), F.lit(1),
+        F.floor(F.length(bases) / 3).cast("int"),
+    )
+
+
+def _by_search(bases: Column, code: int) -> Column:
+    """A codon is found by one search in a text of some hundred letters."""
+    text, residues = (F.lit(part) for part in _look_up(code))
+    codon = F.regexp_extract_all(bases, F.lit("(?s).{3}"), F.lit(0))
+    return F.array_join(
+        F.transform(codon, lambda c: F.substring(residues, F.instr(text, c), F.lit(1))), "")
 
 
 def translate(seq: Column, code: int = STANDARD_CODE) -> Column:
-    """Peptide of a coding sequence; stops stay as ``*``, unresolvable codons become X."""
-    plain, ambiguous = _codon_tables(code)
-    digits = str.maketrans(_BASES, "0123")
-    residues = F.lit("".join(plain[c] for c in sorted(plain, key=lambda c: c.translate(digits))))
-    fallback = _literal_map(ambiguous)
+    """Peptide of a coding sequence; stops stay as ``*``, unresolvable codons become X.
 
-    def residue(codon: Column) -> Column:
-        """Four bases make a codon a number, which is its place in the list of residues."""
-        place = F.conv(F.translate(codon, _BASES, "0123"), 4, 10).cast("int") + 1
-        return F.when(F.translate(codon, _BASES, "") == "", F.substring(residues, place, 1)
-                      ).otherwise(F.coalesce(F.element_at(fallback, codon), F.lit("X")))
+    A trailing partial codon is dropped.
+    """
+    return _residues(_bases(seq), code)
 
-    return F.array_join(F.transform(codons(F.translate(seq, "Uu", "TT")), residue), "")
+
+def translate_to_stop(seq: Column, code: int = STANDARD_CODE) -> Column:
+    """The peptide before the first stop; the sequence is cut there before it is translated."""
+    plain, ambiguous = _codon_tables(code)
+    stops = "|".join(c for c, residue in (plain | ambiguous).items() if residue == "*")
+    open_frame = F.regexp_extract(_bases(seq), f"^(?s:(?!{stops}).{{3}})*+", 0)
+    return _residues(open_frame, code)
 
 
 def translate_for_chrom(seq: Column, chrom: Column) -> Column:

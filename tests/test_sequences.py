@@ -1,5 +1,7 @@
 import random
+from itertools import product
 
+import pytest
 import xxhash
 from pyspark.sql import functions as F
 
@@ -102,3 +104,28 @@ def test_read_fasta(spark, tmp_path):
         assert len(r.seq) <= 256
         found[r.chrom] = found.get(r.chrom, "") + r.seq
     assert found == genome
+
+
+@pytest.mark.parametrize("code", [S.STANDARD_CODE, S.MITOCHONDRIAL_CODE])
+def test_every_codon(spark, code):
+    letters = "ACGTMRWSYKVHDBNX -.Z\n"
+    codons = ["".join(c) for c in product(letters, repeat=3)]
+    plain, ambiguous = S._codon_tables(code)
+    expected = "".join((plain | ambiguous).get(c, "X") for c in codons)
+    assert len(S._look_up(code)[0].split(" ")[1]) == 66
+    whole = "".join(codons)
+    assert one(spark, S.translate(F.col("s"), code), s=whole) == expected
+    assert one(spark, S.translate(F.col("s"), code), s=whole.lower().replace("t", "u")) == expected
+    plain_only = "".join(c for c in codons if set(c) <= set("ACGT")) * 3
+    for seq in (plain_only, plain_only[5:], plain_only[:100], plain_only[:24], "ACG", "AC"):
+        got = one(spark, S.translate(F.col("s"), code), s=seq)
+        assert got == "".join(plain[seq[i:i + 3]] for i in range(0, len(seq) - 2, 3))
+    # the part before the first stop, from every frame of a text whose stops are far behind
+    quiet = "".join(c for c in codons if (plain | ambiguous).get(c) != "*") * 3
+    for seq in (quiet + "TAA" + quiet, quiet + "ac", "", "TA", "TAATTT"):
+        got = one(spark, S.translate_to_stop(F.col("s"), code), s=seq)
+        assert got == one(spark, S.until_stop(S.translate(F.col("s"), code)), s=seq)
+
+
+def test_long_open_frame(spark):
+    assert one(spark, S.translate_to_stop(F.col("s")), s="GCC" * 200_000 + "TGAGCC") == "A" * 200_000
