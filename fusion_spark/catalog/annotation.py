@@ -11,7 +11,9 @@ from fusion_spark.functions import features as X
 from fusion_spark.operators import annotation as A
 from fusion_spark.operators.intervals import interval_join, merge_intervals, parse_ranges
 from fusion_spark.operators.skew import skew_join
-from fusion_spark.sources.annotation import gtf_value, has_known_prefix, tsl_from_attributes
+from fusion_spark.sources.annotation import (
+    gtf_value, has_known_prefix, parse_gff3, tsl_from_attributes,
+)
 
 _BOUNDARY = """CASE WHEN {s} IS NULL THEN 'NA' WHEN {p} = {s} THEN 'left_boundary'
   WHEN {p} = {e} THEN 'right_boundary' WHEN {s} < {p} AND {p} < {e} THEN 'within'
@@ -584,3 +586,51 @@ WHERE rn = 1
 """)
 def tsl_table(spark, sf_dir):
     return tsl_from_attributes(_gtf_rows(spark, sf_dir))
+
+
+# GFF3 lines: loci over genes, genes over transcripts, transcripts over exons, exons over
+# segments. Some transcripts have two genes, some exons two transcripts.
+_GFF_PARTS = {
+    "locus": ("concat('ID=locus:', gene // 10, ';Name=a%3Bb')", "locus"),
+    "gene": ("concat('ID=gene:G', gene, ';Parent=locus:', gene // 10)", "gene"),
+    "mRNA": (
+        "concat('ID=transcript:T', p_partkey, ';Parent=gene:G', gene, "
+        "CASE WHEN p_size % 4 = 0 THEN concat(',gene:G', gene + 1) ELSE '' END)", "tx"),
+    "exon": (
+        "concat('ID=exon:E', p_partkey, ';Parent=transcript:T', p_partkey, "
+        "CASE WHEN p_size % 5 = 0 THEN concat(',transcript:T', p_partkey + 1) ELSE '' END)", "tx"),
+    "CDS": ("concat('ID=CDS:C', p_partkey, ';Parent=exon:E', p_partkey)", "tx"),
+}
+
+
+def _gff_lines(places: dict[str, str]) -> str:
+    rows = []
+    for number, (kind, (attributes, level)) in enumerate(_GFF_PARTS.items()):
+        only = {"locus": "WHERE gene % 10 = 0 AND p_partkey % 2 = 0",
+                "gene": "WHERE p_partkey % 2 = 0", "tx": ""}[level]
+        rows.append(
+            f"SELECT p_partkey * 8 + {number} AS ord, concat_ws({places['tab']}, '1', 'x', "
+            f"'{kind}', CAST(p_partkey * 100 AS {places['text']}), "
+            f"CAST(p_partkey * 100 + 50 AS {places['text']}), '.', '+', '0', {attributes}) "
+            f"AS value FROM numbered {only}")
+    return " UNION ALL ".join(rows)
+
+
+@query("gff_ancestors", "", f"""
+WITH RECURSIVE numbered AS (SELECT p_partkey, p_size, p_partkey // 2 AS gene FROM part),
+lines AS ({_gff_lines({'tab': 'chr(9)', 'text': 'VARCHAR'})}),
+edges AS (
+  SELECT regexp_extract(value, 'ID=([^;]*)', 1) AS id,
+         unnest(string_split(regexp_extract(value, 'Parent=([^;]*)', 1), ',')) AS up FROM lines),
+above AS (
+  SELECT id, up AS ancestor, 1 AS depth FROM edges WHERE up <> ''
+  UNION SELECT a.id, e.up, a.depth + 1 FROM above a JOIN edges e ON e.id = a.ancestor WHERE e.up <> '')
+SELECT id, ancestor, CAST(min(depth) AS INTEGER) AS depth FROM above GROUP BY id, ancestor
+""")
+def gff_ancestors(spark, sf_dir):
+    part = view(spark, sf_dir, "part").selectExpr(
+        "p_partkey", "p_size", "CAST(floor(p_partkey / 2) AS BIGINT) AS gene")
+    text = _gff_lines({"tab": "char(9)", "text": "STRING"}).replace(
+        "gene // 10", "CAST(floor(gene / 10) AS BIGINT)")
+    lines = spark.sql(text.replace("FROM numbered", "FROM {numbered}"), numbered=part)
+    return A.ancestors(parse_gff3(lines.withColumnRenamed("ord", "_ord")))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -10,6 +12,7 @@ from fusion_spark.operators.dedup import first_by
 from fusion_spark.operators.intervals import interval_join
 from fusion_spark.operators.skew import skew_join
 from fusion_spark.schemas import UNKNOWN_TSL
+from fusion_spark.session import cut_lineage
 
 EXON_FIELDS = ["start", "stop", "id", "seq"]
 CDS_FIELDS = ["start", "stop", "id", "frame", "seq"]
@@ -21,33 +24,95 @@ def attribute(name: str, *fallbacks: str, default: str = "") -> Column:
     return F.coalesce(F.try_element_at(F.coalesce(*values), F.lit(1)), F.lit(default))
 
 
-def feature_hierarchy(features: DataFrame) -> DataFrame:
-    """Transcripts with the properties of their gene, from GFF3 features.
+def ancestors(
+    features: DataFrame, cut: Callable[[DataFrame], DataFrame] = cut_lineage
+) -> DataFrame:
+    """(id, ancestor, depth): every feature above a feature, by the shortest way up.
 
-    ``features``: id, type, parent, attributes (map of value lists).
+    ``features``: id and ``parents``, an array that may be null, hold several parents or name
+    features that are not there. Each round takes the last round's ancestors one level up and
+    keeps what was not known, so it ends after as many rounds as the hierarchy is deep, also
+    where features lie in a circle (a feature is not its own ancestor).
     """
-    is_transcript = F.col("id").startswith("transcript") | F.col("type").isin(
-        "mRNA", "transcript"
+    edges = cut(
+        features.select("id", F.explode("parents").alias("ancestor"))
+        .filter("id <> ancestor").distinct()
     )
+    up = edges.select(F.col("id").alias("ancestor"), F.col("ancestor").alias("next"))
+    found = edges.withColumn("depth", F.lit(1))
+    last, depth = edges, 1
+    while True:
+        depth += 1
+        higher = skew_join(last, up, ["ancestor"], "inner", ["id"]).select(
+            "id", F.col("next").alias("ancestor")).filter("id <> ancestor").distinct()
+        last = cut(higher.join(found, ["id", "ancestor"], "left_anti"))
+        if last.isEmpty():
+            return found
+        found = cut(found.unionByName(last.withColumn("depth", F.lit(depth))))
+
+
+def _is_transcript() -> Column:
+    return F.col("id").startswith("transcript") | F.col("type").isin("mRNA", "transcript")
+
+
+def _with_parents(features: DataFrame) -> DataFrame:
+    if "parents" in features.columns:
+        return features
+    return features.withColumn("parents", F.array_compact(F.array("parent")))
+
+
+def feature_hierarchy(
+    features: DataFrame, cut: Callable[[DataFrame], DataFrame] = cut_lineage
+) -> DataFrame:
+    """Transcripts with the properties of their gene, from GFF3 features.
+
+    ``features``: id, type, attributes (map of value lists) and ``parents`` or ``parent``.
+    The gene is an ancestor at any depth, the nearest one, of equally near ones the first in
+    order of ids.
+    """
     is_gene = F.col("id").startswith("gene") | (F.col("type") == "gene")
-    transcripts = features.filter(is_transcript).select(
-        F.col("id").alias("transcript_id"),
-        F.col("parent").alias("gene"),
-        attribute("biotype", "transcript_biotype").alias("trans_biotype"),
-    )
     genes = features.filter(is_gene).select(
         F.col("id").alias("gene"),
         attribute("Name", "gene_name", "gene_id").alias("gene_name"),
         attribute("biotype", "gene_biotype").alias("gene_biotype"),
         clean_description(attribute("description", default="NA")).alias("description"),
     )
+    transcripts = features.filter(_is_transcript()).select(
+        F.col("id").alias("transcript_id"),
+        attribute("biotype", "transcript_biotype").alias("trans_biotype"),
+    )
+    above = ancestors(_with_parents(features), cut).withColumnsRenamed(
+        {"id": "transcript_id", "ancestor": "gene"})
+    nearest = (
+        skew_join(above, genes.select("gene"), ["gene"], "left_semi", ["transcript_id"])
+        .groupBy("transcript_id").agg(F.min_by("gene", F.struct("depth", "gene")).alias("gene"))
+    )
     return (
-        skew_join(transcripts, genes, ["gene"], "left", ["transcript_id"])
+        skew_join(transcripts.join(nearest, "transcript_id", "left"), genes, ["gene"], "left",
+                  ["transcript_id"])
         .fillna("", ["gene_name", "gene_biotype", "description"])
         .drop("gene")
     )
 
 
+def features_below_transcripts(
+    features: DataFrame, kind: str, cut: Callable[[DataFrame], DataFrame] = cut_lineage
+) -> DataFrame:
+    """``exon`` or ``CDS`` features of every transcript above them, at any depth.
+
+    Columns as the annotation operators use them; a feature of several transcripts is a row
+    for each.
+    """
+    wanted = features.filter(F.col("type") == kind).select(
+        "chrom", "start", "stop", "strand", "id", "frame", "_ord")
+    transcripts = features.filter(_is_transcript()).select(F.col("id").alias("transcript_id"))
+    above = ancestors(_with_parents(features), cut).select(
+        "id", F.col("ancestor").alias("transcript_id"))
+    mine = skew_join(above, transcripts, ["transcript_id"], "left_semi", ["id"])
+    return skew_join(mine, wanted, ["id"], "inner", ["transcript_id"]).select(
+        "chrom", "start", "stop", "strand", "id", "frame", "transcript_id", "_ord")
+
+
 def clean_description(text: Column) -> Column:
     return F.translate(text, ";", " ")
 

@@ -42,14 +42,17 @@ def gff_attributes(text: Column) -> Column:
 
 
 def read_gff3(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """GFF3 features with unique ids: id, type, chrom, start, stop, strand, frame, parent.
+    return parse_gff3(with_order(read_lines(spark, path)))
 
-    A feature without an id is named after its type; later copies of an id get ``_1`` and so
-    on in file order.
+
+def parse_gff3(lines: DataFrame) -> DataFrame:
+    """GFF3 features with unique ids: id, type, chrom, start, stop, strand, frame, parents.
+
+    ``lines``: value and the bigint file order ``_ord``. A feature without an id is named
+    after its type; later copies of an id get ``_1`` and so on in file order. ``parent`` is
+    the first of the parents.
     """
-    rows = _fields(with_order(read_lines(spark, path))).withColumn(
-        "attributes", gff_attributes(F.col("attributes"))
-    )
+    rows = _fields(lines).withColumn("attributes", gff_attributes(F.col("attributes")))
     named = rows.withColumn(
         "id",
         F.coalesce(
@@ -61,6 +64,7 @@ def read_gff3(spark: SparkSession, path: str | list[str]) -> DataFrame:
         "id", "type", "chrom", "start", "stop", "strand",
         F.expr("try_cast(phase AS INT)").alias("frame"),
         F.try_element_at(F.col("attributes"), F.lit("Parent"))[0].alias("parent"),
+        F.try_element_at(F.col("attributes"), F.lit("Parent")).alias("parents"),
         "attributes", "_ord",
     )
 

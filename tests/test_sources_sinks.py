@@ -6,7 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from fusion_spark import schemas
-from fusion_spark.operators.annotation import feature_hierarchy, feature_type_counts
+from fusion_spark.operators.annotation import (
+    ancestors, feature_hierarchy, feature_type_counts, features_below_transcripts,
+)
 from fusion_spark.operators.calls import parse_tool, union_tools
 from fusion_spark.operators.reads import split_mates
 from fusion_spark.sinks import writers as K
@@ -235,3 +237,29 @@ def test_requant_and_long_fields(spark, tmp_path):
     long = "A" * 2_000_000
     path = put(tmp_path / "l.csv", [["BPID", "context_sequence"], ["x", long]], ";")
     assert tables.annotated_fusions(spark, path).select(F.length("context_sequence")).first()[0] == len(long)
+
+
+def test_hierarchy_of_any_depth(spark, tmp_path):
+    rows = [
+        ("gene", "ID=gene:A;Name=a"), ("gene", "ID=gene:B;Name=b"),
+        ("cluster", "ID=c1;Parent=gene:B"),
+        ("mRNA", "ID=transcript:T1;Parent=c1,gene:A"), ("mRNA", "ID=transcript:T2;Parent=c1"),
+        ("mRNA", "ID=transcript:T3;Parent=gone"), ("mRNA", "ID=transcript:T4"),
+        ("part", "ID=p1;Parent=transcript:T1,transcript:T2"), ("exon", "ID=e1;Parent=p1"),
+        ("exon", "ID=e2;Parent=transcript:T4"), ("exon", "ID=e3;Parent=loop1"),
+        ("x", "ID=loop1;Parent=loop2"), ("x", "ID=loop2;Parent=loop1"),
+    ]
+    lines = [f"1\tx\t{kind}\t{i}\t{i + 1}\t.\t+\t0\t{text}" for i, (kind, text) in enumerate(rows)]
+    path = tmp_path / "deep.gff3"
+    path.write_text("\n".join(lines))
+    features = annotation.read_gff3(spark, str(path))
+    found = {(r.id, r.ancestor): r.depth for r in ancestors(features).collect()}
+    assert found["e1", "gene:B"] == 4 and found["e1", "gene:A"] == 3
+    assert found["transcript:T1", "gene:A"] == 1 and found["transcript:T1", "gene:B"] == 2
+    assert found["e3", "loop2"] == 2 and ("loop1", "loop1") not in found
+    names = {r.transcript_id: r.gene_name for r in feature_hierarchy(features).collect()}
+    assert names == {"transcript:T1": "a", "transcript:T2": "b", "transcript:T3": "",
+                     "transcript:T4": ""}
+    owners = {(r.id, r.transcript_id) for r in features_below_transcripts(features, "exon").collect()}
+    assert owners == {("e1", "transcript:T1"), ("e1", "transcript:T2"), ("e2", "transcript:T4")}
+    assert ancestors(features.limit(0)).collect() == []
