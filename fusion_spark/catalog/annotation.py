@@ -32,21 +32,24 @@ binned_exons AS MATERIALIZED (
   SELECT *, unnest(range((start - 1) // 16384, (stop + 1) // 16384 + 1)) AS bin FROM fx_exons),
 binned_cds AS MATERIALIZED (
   SELECT *, unnest(range((start - 1) // 16384, (stop + 1) // 16384 + 1)) AS bin FROM fx_cds),
-cds_hits AS MATERIALIZED (SELECT chrom, pos, tx, start, stop FROM (
+cds_hits AS MATERIALIZED (SELECT concat(chrom, ':', pos, ':', tx) AS place, start, stop FROM (
   SELECT b.chrom, b.pos, c.tx, c.start, c.stop,
          row_number() OVER (PARTITION BY b.chrom, b.pos, c.tx ORDER BY c.ord) AS rn
   FROM (SELECT DISTINCT chrom, pos FROM bps) b JOIN binned_cds c
     ON b.chrom = c.chrom AND b.pos // 16384 = c.bin AND c.start <= b.pos + 1 AND c.stop >= b.pos - 1) t WHERE rn = 1),
+exon_hits AS MATERIALIZED (
+  SELECT b.chrom, b.pos, b.strand, e.tx, e.ord AS exon_ord, e.start, e.stop,
+         concat(b.chrom, ':', b.pos, ':', e.tx) AS place
+  FROM bps b JOIN binned_exons e
+    ON b.chrom = e.chrom AND b.pos // 16384 = e.bin AND e.start <= b.pos + 1 AND e.stop >= b.pos - 1),
 hits AS MATERIALIZED (
-  SELECT b.chrom, b.pos, b.strand, e.tx, e.ord AS exon_ord,
-         {_boundary('b.pos', 'e.start', 'e.stop')} AS exon_boundary,
+  SELECT b.chrom, b.pos, b.strand, b.tx, exon_ord,
+         {_boundary('b.pos', 'b.start', 'b.stop')} AS exon_boundary,
          {_boundary('b.pos', 'h.start', 'h.stop')} AS cds_boundary
-  FROM bps b JOIN binned_exons e
-    ON b.chrom = e.chrom AND b.pos // 16384 = e.bin AND e.start <= b.pos + 1 AND e.stop >= b.pos - 1
-  LEFT JOIN cds_hits h ON h.chrom = b.chrom AND h.pos = b.pos AND h.tx = e.tx)
+  FROM exon_hits b LEFT JOIN cds_hits h ON h.place = b.place)
 """
 _FRAMES = """
-starts AS (SELECT tx, min_by(frame, start) AS first_frame, max_by(frame, start) AS last_frame
+starts AS MATERIALIZED (SELECT tx, min_by(frame, start) AS first_frame, max_by(frame, start) AS last_frame
            FROM fx_cds GROUP BY tx),
 framed AS MATERIALIZED (
   SELECT h.chrom, h.pos, h.strand, h.tx, h.exon_ord, h.exon_boundary, h.cds_boundary,
@@ -61,20 +64,28 @@ framed AS MATERIALIZED (
   FROM hits h LEFT JOIN starts s ON s.tx = h.tx
   LEFT JOIN fx_cds c ON c.tx = h.tx AND c.start <= h.pos AND h.pos <= c.stop)
 """
+# Hits are listed in one row per breakpoint, so a fusion meets one row a side in any join order.
 _PAIRS = """
 loci AS MATERIALIZED (SELECT tx, min(start) AS start, max(stop) AS stop FROM fx_exons GROUP BY tx),
-fusions AS MATERIALIZED (SELECT DISTINCT sample, bpid, chrom1, pos1, strand1, chrom2, pos2, strand2
-            FROM fx_calls),
-pairs AS (
-  SELECT f.sample, f.bpid, f.chrom1, f.pos1, f.strand1, f.chrom2, f.pos2, f.strand2,
+located AS MATERIALIZED (
+  SELECT concat(chrom, ':', pos, ':', strand) AS bp, {'tx': f.tx, 'exon_ord': exon_ord,
+      'exon_boundary': exon_boundary, 'frame': frame_at_bp, 'start': l.start, 'stop': l.stop} AS hit
+  FROM framed f JOIN loci l ON l.tx = f.tx),
+listed AS MATERIALIZED (SELECT bp, list(hit) AS hits FROM located GROUP BY bp),
+fusions AS MATERIALIZED (
+  SELECT DISTINCT sample, bpid, chrom1, pos1, strand1, chrom2, pos2, strand2, bp1, bp2
+  FROM fx_calls),
+first_side AS MATERIALIZED (
+  SELECT f.*, unnest(hits) AS a FROM fusions f JOIN listed ON bp = bp1),
+both_sides AS MATERIALIZED (
+  SELECT f.*, unnest(hits) AS b FROM first_side f JOIN listed ON bp = bp2),
+pairs AS MATERIALIZED (
+  SELECT sample, bpid, chrom1, pos1, strand1, chrom2, pos2, strand2,
          a.tx AS tx1, b.tx AS tx2, a.exon_ord AS exon_ord1, b.exon_ord AS exon_ord2,
          a.exon_boundary AS exon_boundary1, b.exon_boundary AS exon_boundary2,
-         a.frame_at_bp AS frame1, b.frame_at_bp AS frame2,
-         l1.start AS start1, l1.stop AS stop1, l2.start AS start2, l2.stop AS stop2
-  FROM fusions f
-  JOIN framed a ON a.chrom = f.chrom1 AND a.pos = f.pos1 AND a.strand = f.strand1
-  JOIN framed b ON b.chrom = f.chrom2 AND b.pos = f.pos2 AND b.strand = f.strand2
-  JOIN loci l1 ON l1.tx = a.tx JOIN loci l2 ON l2.tx = b.tx)
+         a.frame AS frame1, b.frame AS frame2,
+         a.start AS start1, a.stop AS stop1, b.start AS start2, b.stop AS stop2
+  FROM both_sides)
 """
 
 

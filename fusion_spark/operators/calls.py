@@ -74,12 +74,12 @@ def _normalised(
     df: DataFrame, gene: Column, bp1: Column, bp2: Column, junction: Column, spanning: Column,
     chroms: tuple[Column, Column] | None = None,
 ) -> DataFrame:
-    """Common call layout, restricted to primary chromosomes; a ``sample`` column is kept.
+    """Common call layout, restricted to primary chromosomes; ``sample`` and ``_ord`` are kept.
 
     ``chroms`` names both chromosomes where the raw row has them apart from the breakpoint
     text, which keeps the filter cheap.
     """
-    kept = [c for c in ("sample",) if c in df.columns]
+    kept = [c for c in ("sample", "_ord") if c in df.columns]
     chrom1, chrom2 = chroms or (_chrom(bp1), _chrom(bp2))
     return df.filter(is_primary(chrom1) & is_primary(chrom2)).select(
         *kept,
@@ -233,14 +233,23 @@ def parse_tool(
 
 
 def union_tools(calls: dict[str, DataFrame], sample: str | None = None) -> DataFrame:
-    """All tools in one table with ``Sample`` and ``Tool``."""
+    """All tools in one table with ``Sample`` and ``Tool``.
 
-    def tagged(tool: str, df: DataFrame) -> DataFrame:
+    Where every table has its arrival order ``_ord``, the union has one: tool by tool as they
+    are listed, rows of a tool as they arrived.
+    """
+    ordered = all("_ord" in df.columns for df in calls.values())
+
+    def tagged(place: int, tool: str, df: DataFrame) -> DataFrame:
         owner = F.col("sample") if "sample" in df.columns else F.lit(sample)
-        return df.withColumn("Sample", owner).withColumn("Tool", F.lit(tool))
+        rows = df.withColumn("Sample", owner).withColumn("Tool", F.lit(tool))
+        if not ordered:
+            return rows.drop("_ord")
+        return rows.withColumn("_ord", F.struct(F.lit(place).alias("place"), "_ord"))
 
     return reduce(
-        lambda a, b: a.unionByName(b), (tagged(tool, df) for tool, df in calls.items())
+        lambda a, b: a.unionByName(b),
+        (tagged(place, tool, df) for place, (tool, df) in enumerate(calls.items())),
     )
 
 

@@ -42,8 +42,12 @@ def filter_reads(alignments: DataFrame) -> DataFrame:
 
 
 def detect(calls_by_tool: dict[str, DataFrame], sample: str | None = None) -> DataFrame:
-    """Normalised calls of all tools with their arrival order."""
-    return with_order(union_tools(calls_by_tool, sample))
+    """Normalised calls of all tools with their arrival order.
+
+    Tables read with ``ordered`` bring the order of their files; others are numbered here.
+    """
+    union = union_tools(calls_by_tool, sample)
+    return union if "_ord" in union.columns else with_order(union)
 
 
 def regions_of_interest(annotated: DataFrame) -> DataFrame:
