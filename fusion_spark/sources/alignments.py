@@ -12,18 +12,21 @@ from fusion_spark.sources.text import read_lines, with_order
 
 
 def read_sam(spark: SparkSession, path: str | list[str], sample: str | None = None) -> DataFrame:
-    """Alignments in file order, unmapped ones included.
-
-    Positions are 0-based with an exclusive end. The sample is given, or the file name up to
-    its first dot.
-    """
-    lines = with_order(
+    """Alignments of SAM files; the sample is given, or the file name up to its first dot."""
+    return parse_sam(with_order(
         read_lines(spark, path).withColumn(
             "sample",
             F.lit(sample) if sample is not None
             else F.regexp_extract(F.input_file_name(), r"([^/.]+)\.[^/]*$", 1),
         )
-    )
+    ))
+
+
+def parse_sam(lines: DataFrame) -> DataFrame:
+    """Alignments in file order, unmapped ones included, from ``value``, ``sample``, ``_ord``.
+
+    Positions are 0-based with an exclusive end.
+    """
     part = F.split(F.col("value"), "\t")
     tags = F.regexp_extract("value", r"\tNH:i:(\d+)", 1)
     fields = lines.filter(~F.regexp_like("value", F.lit(r"^@[A-Z][A-Z]\t"))).select(

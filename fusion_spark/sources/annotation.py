@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fusion_spark import schemas
 from fusion_spark.operators.dedup import first_by, uniquify_ids
 from fusion_spark.operators.sequences import CHUNK, cut_in_chunks
+from fusion_spark.session import cut_lineage
 from fusion_spark.sources.text import read_delimited, read_lines, with_order
 
 # Accepted transcript id prefixes.
@@ -150,13 +153,21 @@ def read_tsl(spark: SparkSession, path: str | list[str]) -> DataFrame:
 def read_fasta(spark: SparkSession, path: str | list[str], size: int = CHUNK) -> DataFrame:
     """FASTA files as ``(chrom, chunk, seq)``.
 
-    The file is read line by line in splits, never as one record per chromosome. Each line
-    learns its record and offset from a running total inside its split plus what the earlier
-    splits of the file end with; of those there is one row per split.
+    The files are read line by line in splits, never as one record per chromosome.
+    """
+    lines = with_order(read_lines(spark, path).withColumn("_file", F.input_file_name()))
+    return parse_fasta(lines.withColumn("_split", F.shiftright("_ord", 33)), size)
+
+
+def parse_fasta(
+    lines: DataFrame, size: int = CHUNK, cut: Callable[[DataFrame], DataFrame] = cut_lineage
+) -> DataFrame:
+    """``(chrom, chunk, seq)`` from lines: value, ``_file``, ``_split`` and the order ``_ord``.
+
+    Each line learns its record and offset from a running total inside its split plus what the
+    earlier splits of the file end with; of those there is one row per split. The lines are
+    read once: what a split knows about them is stored, and splits are summed up from there.
     """
-    lines = with_order(
-        read_lines(spark, path).withColumn("_file", F.input_file_name())
-    ).withColumn("_split", F.shiftright("_ord", 33))
     header = F.col("value").startswith(">")
     marked = lines.select(
         "_file", "_split", "_ord",
@@ -166,29 +177,23 @@ def read_fasta(spark: SparkSession, path: str | list[str], size: int = CHUNK) ->
     so_far = Window.partitionBy("_file", "_split").orderBy("_ord").rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
-    local = (
+    named = F.col("_name").isNotNull()
+    local = cut(
         marked.withColumn("_head", F.last("_name", ignorenulls=True).over(so_far))
         .withColumn("_end", F.sum(F.length("seq")).over(so_far))
-        .withColumn(
-            "_from", F.max(F.when(F.col("_name").isNotNull(), F.col("_end"))).over(so_far)
-        )
+        .withColumn("_from", F.max(F.when(named, F.col("_end"))).over(so_far))
         .withColumn("_offset", F.col("_end") - F.length("seq") - F.coalesce("_from", F.lit(0)))
     )
-    splits = marked.groupBy("_file", "_split").agg(
-        F.max_by("_name", F.when(F.col("_name").isNotNull(), F.col("_ord"))).alias("_last"),
-        F.max(F.when(F.col("_name").isNotNull(), F.col("_ord"))).alias("_last_ord"),
-        F.sum(F.length("seq")).alias("_total"),
-    )
-    tails = (
-        local.filter(F.col("_name").isNotNull())
-        .groupBy("_file", "_split")
-        .agg(F.max("_end").alias("_at_last"))
-    )
     earlier = Window.partitionBy("_file").orderBy("_split").rowsBetween(
         Window.unboundedPreceding, -1
     )
     carried = (
-        splits.join(tails, ["_file", "_split"], "left")
+        local.groupBy("_file", "_split")
+        .agg(
+            F.max_by("_name", F.when(named, F.col("_ord"))).alias("_last"),
+            F.max(F.when(named, F.col("_end"))).alias("_at_last"),
+            F.max("_end").alias("_total"),
+        )
         .withColumn("_before", F.coalesce(F.sum("_total").over(earlier), F.lit(0)))
         .withColumn("_abs", F.col("_before") + F.col("_at_last"))
         .select(
