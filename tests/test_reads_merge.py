@@ -1,3 +1,5 @@
+import glob
+import os
 import random
 from collections import defaultdict
 
@@ -150,8 +152,8 @@ def test_model(spark):
     assert {r.prediction_prob for r in blank.collect()} == {None}
 
 
-def test_stages_from_calls_to_candidates(spark, tmp_path):
-    """All stages over stored tables, two samples at once."""
+def test_stages_from_calls_to_candidates(spark, no_broadcast, tmp_path):
+    """All stages over stored tables, one sample, then only what is missing of three."""
     from fusion_spark.operators.sequences import chunk_sequences
     from fusion_spark.plans import stages
     from fusion_spark.schemas import TOOL_CALL
@@ -183,7 +185,34 @@ def test_stages_from_calls_to_candidates(spark, tmp_path):
         [("a", name, "r", 65, 50, 150), ("b", name, "r", 65, 95, 195)],
         "sample string, name string, qname string, flag int, pos0 bigint, end0 bigint")
     library = spark.createDataFrame([("a", 1000), ("b", 0)], "sample string, input_reads bigint")
-    merged = stages.run(spark, str(tmp_path), both, genes, reads, library, ["x", "y"])
+    # of two pairs inside the exons of the fusion, the one of the sample without it stays out
+    genomic = spark.createDataFrame(
+        [(s, i, q, f, 1, c, p, p + 90, 90, 90) for i, (s, q, f, c, p) in enumerate([
+            ("a", "in", 99, "1", 110), ("a", "in", 147, "1", 110), ("a", "far", 99, "1", 900),
+            ("a", "far", 147, "1", 990), ("c", "in", 99, "1", 110), ("c", "in", 147, "1", 110),
+            ("b", "odd", 97, "3", 5), ("b", "odd", 145, "3", 5)])], ALN)
+    sheet = spark.createDataFrame([("a",), ("b",), ("c",)], "sample string")
+    first = stages.run(
+        spark, str(tmp_path), {t: d.filter("sample = 'a'") for t, d in both.items()}, genes, reads,
+        library, ["x", "y"], alignments=genomic, sheet=sheet.limit(1), resume=True)
+    assert [r.sample for r in first.collect()] == ["a"]
+    done = {f: os.path.getmtime(f) for f in glob.glob(f"{tmp_path}/*/*ample=a/*.parquet")}
+    assert len({f.split("/")[-3] for f in done}) == 6  # no read of a passes the filter
+    merged = stages.run(spark, str(tmp_path), both, genes, reads, library, ["x", "y"],
+                        alignments=genomic, sheet=sheet, resume=True)
+    # a was not computed again; c has no calls, but is known to be done
+    assert all(os.path.getmtime(f) == t for f, t in done.items())
+    tables = stages.StageTables(spark, str(tmp_path), sheet, True)
+    noted = [(r.stage, r.sample) for r in tables.manifest().collect()]
+    assert len(noted) == len(set(noted)) == 7 * 3
+    assert {(r.sample, r.qname) for r in spark.read.parquet(f"{tmp_path}/selected_reads").collect()} \
+        == {("a", "in"), ("b", "odd")}
+    assert {r.qname for r in spark.read.parquet(f"{tmp_path}/filtered_reads").collect()} == {"odd"}
+    again = stages.run(spark, str(tmp_path), both, genes, reads, library, ["x", "y"],
+                       sheet=sheet, resume=True)
+    assert again.count() == 2
+    fresh = stages.run(spark, f"{tmp_path}/fresh", both, genes, reads, library, ["x", "y"])
+    assert sorted(map(str, fresh.collect())) == sorted(map(str, again.collect()))
     rows = {r.sample: r for r in merged.collect()}
     assert set(rows) == {"a", "b"} and rows["a"].context_sequence == context
     assert (rows["a"].tool_frac, rows["b"].tool_frac) == (1.0, 0.5)
