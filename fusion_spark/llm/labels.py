@@ -14,13 +14,13 @@ def fold(parts: int, key: str = "doc_id") -> Column:
 
 def sample(
     docs: DataFrame, labels: DataFrame, column: str, usable: Column, per_class: int,
-    classes: tuple = (0, 1), most_bytes: int | None = None,
+    classes: tuple = (0, 1), most_bytes: int | None = None, seed: int | None = None,
 ) -> list[tuple[str, object]]:
     """(text, label) of at most ``per_class`` usable labelled documents per class.
 
-    Which ones is decided by a hash of the id, so it does not depend on file order. With
-    ``most_bytes`` a class takes whole texts in that order while their sum stays within it;
-    longer ones are passed over. A document labelled twice takes the larger label, an id that
+    Which ones is decided by a hash of the id, so it does not depend on file order; samples of
+    different ``seed`` are independent. With ``most_bytes`` a class takes whole texts in that
+    order while their sum stays within it; longer ones are passed over. A document labelled twice takes the larger label, an id that
     repeats its largest text.
     """
     marked = (
@@ -33,9 +33,10 @@ def sample(
         sizes = docs.groupBy("doc_id").agg(
             F.max(F.coalesce(F.octet_length("text"), F.lit(0))).alias("_bytes"))
         marked = marked.join(sizes, "doc_id").filter(F.col("_bytes") <= most_bytes)
+    drawn = F.xxhash64("doc_id") if seed is None else F.xxhash64("doc_id", F.lit(seed))
+    order = [drawn, F.col("doc_id")]
     chosen = None
     for label in classes:
-        order = [F.xxhash64("doc_id"), F.col("doc_id")]
         part = marked.filter(F.col("_label") == label).orderBy(*order).limit(per_class)
         if most_bytes is not None:  # over per_class rows at most
             until = F.sum("_bytes").over(Window.partitionBy("_label").orderBy(*order))
@@ -45,7 +46,7 @@ def sample(
     rows = (
         docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
         .groupBy("doc_id", "_label").agg(F.max(F.coalesce("text", F.lit(""))).alias("_text"))
-        .orderBy(F.xxhash64("doc_id"), "doc_id")
+        .orderBy(*order)
         .select("_text", "_label").collect()
     )
     return [(row[0], row[1]) for row in rows]

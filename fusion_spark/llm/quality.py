@@ -197,11 +197,11 @@ def fit_quality(
     positives: int = POSITIVES, unlabelled: int = UNLABELLED,
 ) -> Model:
     """Trains on at most ``positives`` usable documents labelled 1 and ``unlabelled`` usable
-    documents of any kind, both picked by a hash of the id."""
+    documents of any kind, each picked by a hash of the id of its own, so that the unlabelled
+    are not the trusted ones over again."""
     trusted = sample(docs, labels, "quality", usable, positives, classes=(1,))
     any_kind = docs.select("doc_id").distinct().filter(usable).withColumn("any", F.lit(1))
-    rest = sample(docs, any_kind, "any", F.xxhash64("doc_id", F.lit(7)).isNotNull(),
-                  unlabelled, classes=(1,))
+    rest = sample(docs, any_kind, "any", F.lit(True), unlabelled, classes=(1,), seed=7)
     return train([text for text, _ in trusted], [text for text, _ in rest])
 
 

@@ -61,3 +61,14 @@ def test_sample_is_bounded_by_bytes(spark):
     assert sorted(label for _, label in rows) == [0] * 10 + [1] * 10
     assert {len(text) for text, _ in rows} == {100}
     assert len(labels.sample(docs, marks, "toxic", every, 40)) == 80
+
+
+def test_samples_of_two_seeds_are_independent(spark):
+    docs = spark.range(4000).select(
+        F.col("id").alias("doc_id"), F.col("id").cast("string").alias("text"))
+    marks = docs.select("doc_id", F.lit(1).alias("quality"))
+    half, every = F.col("doc_id") % 2 == 0, F.lit(True)
+    trusted = {t for t, _ in labels.sample(docs, marks, "quality", half, 200, classes=(1,))}
+    rest = {t for t, _ in labels.sample(docs, marks, "quality", every, 400, classes=(1,), seed=7)}
+    assert len(trusted) == 200 and len(rest) == 400
+    assert 5 <= len(trusted & rest) <= 40  # 20 by chance
