@@ -14,9 +14,10 @@ def fold(parts: int, key: str = "doc_id") -> Column:
 
 def sample(
     docs: DataFrame, labels: DataFrame, column: str, usable: Column, per_class: int,
-    classes: tuple = (0, 1), most_bytes: int | None = None, seed: int | None = None,
+    classes: tuple | None = (0, 1), most_bytes: int | None = None, seed: int | None = None,
 ) -> list[tuple[str, object]]:
-    """(text, label) of at most ``per_class`` usable labelled documents per class.
+    """(text, label) of at most ``per_class`` usable labelled documents per class, of every
+    class there is if ``classes`` is None.
 
     Which ones is decided by a hash of the id, so it does not depend on file order; samples of
     different ``seed`` are independent. With ``most_bytes`` a class takes whole texts in that
@@ -36,7 +37,11 @@ def sample(
     drawn = F.xxhash64("doc_id") if seed is None else F.xxhash64("doc_id", F.lit(seed))
     order = [drawn, F.col("doc_id")]
     chosen = None
-    for label in classes:
+    if classes is None:  # one plan for any number of them; each task passes on per_class rows
+        place = F.row_number().over(Window.partitionBy("_label").orderBy(*order))
+        chosen = marked.withColumn("_place", place).filter(F.col("_place") <= per_class)
+        chosen = chosen.select("doc_id", "_label")
+    for label in classes or ():
         part = marked.filter(F.col("_label") == label).orderBy(*order).limit(per_class)
         if most_bytes is not None:  # over per_class rows at most
             until = F.sum("_bytes").over(Window.partitionBy("_label").orderBy(*order))

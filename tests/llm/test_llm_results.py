@@ -339,13 +339,55 @@ def test_rare_toxic_words_are_learned(texts, kinds, least):
 def test_forward_sums_all_segmentations():
     pieces = ["^a", "ab", "b", "a", "^", "^ab"]
     lookup = language.Pieces(pieces)
-    chances = np.array([[0.1], [0.2], [0.3], [0.15], [0.05], [0.12], [0.0], [0.01]])
-    lengths, ids = lookup.places(["^ab", "^b", "^x"])
-    sums = language.forward(ids, chances)[np.arange(3), lengths, 0]
+    chances = np.array([[0.1], [0.2], [0.3], [0.15], [0.05], [0.12], [0.01]])
+    cuts = lookup.cuts(["ab", "b", "x"])
+    sums = np.exp(language.log_prefixes(cuts, np.log(chances))[cuts.last, 0])
     # ^ab | ^a b | ^ ab | ^ a b, then ^ b, then ^ and an unlisted character
     assert sums == pytest.approx([0.12 + 0.03 + 0.01 + 0.05 * 0.15 * 0.3, 0.015, 0.0005])
 
 
+def segmentations(word, pieces):
+    """All ways to cut a word into pieces, single characters being pieces."""
+    if not word:
+        return [[]]
+    return [[word[:n], *rest] for n in range(1, len(word) + 1)
+            if n == 1 or word[:n] in pieces for rest in segmentations(word[n:], pieces)]
+
+
+def test_pieces_of_any_length_equal_brute_force():
+    dice = random.Random(8)
+    pieces = ["^", "a", "b"] + sorted({"".join(dice.choice("ab") for _ in range(n))
+                                       for n in range(2, 14) for _ in range(3)})
+    lookup = language.Pieces(pieces)
+    chances = np.array([[dice.random(), dice.random()] for _ in range(len(pieces) + 1)])
+    chances /= chances.sum(0)
+    number = {piece: i for i, piece in enumerate(pieces)}
+    found = ["".join(dice.choice("aabbc") for _ in range(dice.randint(1, 15))) for _ in range(30)]
+    uses = np.arange(1.0, len(found) + 1)
+    cuts = lookup.cuts(found)
+    sums = language.log_prefixes(cuts, np.log(chances))[cuts.last]
+    counts = np.zeros(len(chances))
+    for word, got, times in zip(found, sums, uses, strict=True):
+        ways = [[number.get(p, len(pieces)) for p in way]
+                for way in segmentations("^" + word, number)]
+        weights = np.array([chances[way].prod(0) for way in ways])
+        assert np.exp(got) == pytest.approx(weights.sum(0))
+        for way, weight in zip(ways, weights[:, 0] / weights[:, 0].sum(), strict=True):
+            np.add.at(counts, way, weight * times)
+    assert language.expected_counts(cuts, np.log(chances[:, 0]), uses) == pytest.approx(counts)
+
+
+def test_words_are_whole_and_pieces_long():
+    pieces = language.vocabulary(PIECES)
+    assert max(map(len, pieces)) == 16
+    logs = np.log(np.full((len(pieces) + 1, 1), 1 / (len(pieces) + 1)))
+    model, lookup = language.Model(["x"], pieces, logs), language.Pieces(pieces)
+    # plain products underflow; each further copy of a period adds the same
+    one, two, three = model.log_chances(
+        lookup, ["internationalisierung" * n for n in (10_000, 20_000, 30_000)])[:, 0]
+    assert one < -100_000 and three - two == pytest.approx(two - one)
+
+
 def test_held_out_accuracy(spark):
     sf = "/root/testdata/sf0.01"
     labels = spark.read.parquet(f"{sf}/labels.parquet")
