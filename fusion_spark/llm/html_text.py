@@ -5,6 +5,7 @@ from __future__ import annotations
 import html
 import random
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
@@ -18,6 +19,7 @@ from fusion_spark.llm.words import slices
 
 TRAINING_PAGES = 300  # bound of the pages that the trees are fitted on
 VARIANTS = 4  # training layouts made of each
+EXAMPLES = 40  # made-up pages that the trees are always fitted on, too
 
 # HTML element names by their role, and words of attributes that name a role.
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
@@ -27,8 +29,8 @@ INLINE = frozenset("""
     math menclose merror mfrac mi mmultiscripts mn mo mover mpadded mphantom mprescripts mroot
     mrow ms mspace msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover semantics
 """.split())
-HIDDEN = ("script|style|noscript|template|textarea|select|iframe|object|svg|title|annotation"
-          "|annotation-xml")
+HIDDEN = frozenset("script style noscript template textarea select iframe object svg title "
+                   "annotation annotation-xml".split())
 CLOSES = {
     "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"),
     "td": ("td", "th"), "th": ("td", "th"), "option": ("option",), "body": ("head",),
@@ -46,16 +48,111 @@ BOILER_WORDS = frozenset("""
 """.split())
 BOILER_TAGS = frozenset("nav header footer aside form button head dialog".split())
 
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<svg(?=[\s/>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*+(?<=/)>"
-    rf"|<({HIDDEN})(?=[\s/>])[^>]*>.*?</\1\s*>|<(?:script|style)(?=[\s/>])[^>]*>.*\Z"
-    rf"|<(?:{HIDDEN})(?=[\s/>])[^>]*>|<[!?][^>]*>"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>", re.S | re.I)
+_NAME_END = re.compile(r"[\s/>]")
+_INSIDE = re.compile(r"(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+")
+_SIGN = re.compile("[\"'>]")
 _ATTRIBUTE = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _WORD = re.compile(r"[a-z]+")
 ROOT = "#root"
 
 
+class _Source:
+    """Look-ups in a page's source that cost no second scan of it, however malformed it is."""
+
+    def __init__(self, source: str):
+        self.source = source
+        self.last = source.rfind(">")
+        self.name_end = -1
+        self.end_tags: dict[str, tuple[list[int], list[int]]] = {}
+        self.signs: list[int] | None = None  # places of quotes and ">"
+        self.closes: list[int] = []  # where a tag ends that reaches that place unquoted
+
+    def name(self, at: int) -> int:
+        """Where a tag's name that holds place ``at`` ends."""
+        if self.name_end < at:
+            found = _NAME_END.search(self.source, at)
+            self.name_end = found.start() if found else len(self.source)
+        return self.name_end
+
+    def end_tag(self, name: str, at: int) -> int:
+        """The end of the first end tag of this name behind ``at``, or -1."""
+        if name not in self.end_tags:
+            found = [m.span() for m in re.finditer(
+                rf"</{re.escape(name)}\s*>", self.source, re.I)]
+            self.end_tags[name] = [a for a, _ in found], [b for _, b in found]
+        starts, ends = self.end_tags[name]
+        place = bisect_left(starts, at)
+        return ends[place] if place < len(ends) else -1
+
+    def close(self, at: int) -> int:
+        """The place of the first ``>`` behind ``at`` that is not in quotes, or -1.
+
+        After the first tag without one the answers for all places are worked out from the
+        page's end, as each further search could again run through the whole page.
+        """
+        if self.signs is None:
+            end = _INSIDE.match(self.source, at).end()
+            if end < len(self.source) and self.source[end] == ">":
+                return end
+            self.signs = [m.start() for m in _SIGN.finditer(self.source, at)]
+            self.closes = [-1] * (len(self.signs) + 1)
+            following = {}
+            for i in range(len(self.signs) - 1, -1, -1):
+                sign = self.source[self.signs[i]]
+                if sign == ">":
+                    self.closes[i] = self.signs[i]
+                else:
+                    if sign in following:
+                        self.closes[i] = self.closes[following[sign] + 1]
+                    following[sign] = i
+        return self.closes[bisect_left(self.signs, at)]
+
+
+def tokens(source: str) -> Iterator[tuple[int, int, str, bool, str]]:
+    """(start, end, tag, closing, attributes) of the tags in page order.
+
+    The tag is empty for what has no meaning here: comments, declarations and hidden elements
+    with all that is in them. A ``<`` that begins nothing whole is text.
+    """
+    look, at = _Source(source), 0
+    while (start := source.find("<", at)) >= 0:
+        at = start + 1
+        following = source[at:at + 1]
+        if source.startswith("!--", at):
+            end = source.find("-->", start + 4)
+            at = len(source) if end < 0 else end + 3
+            yield start, at, "", False, ""
+            continue
+        if start > look.last:
+            continue
+        if following and following in "!?":
+            at = source.index(">", at) + 1
+            yield start, at, "", False, ""
+            continue
+        closing = following == "/"
+        first = at + closing
+        if not (source[first:first + 1].isascii() and source[first:first + 1].isalpha()):
+            continue
+        name_end = look.name(first)
+        # longer names are looked at only when their tag is whole
+        tag = source[first:name_end].lower() if name_end - first < 20 else ""
+        if tag in HIDDEN and not closing:
+            end = look.close(name_end) if tag == "svg" else -1
+            if end < 0 or source[end - 1] != "/":
+                end = source.index(">", name_end)
+                behind = look.end_tag(tag, end + 1)
+                if behind < 0 and tag in ("script", "style"):
+                    behind = len(source)
+                end = max(end, behind - 1)
+            at = end + 1
+            yield start, at, "", False, ""
+            continue
+        end = look.close(name_end)
+        if end >= 0:
+            at = end + 1
+            yield start, at, source[first:name_end].lower(), closing, source[name_end:end]
+
+
 @dataclass
 class Page:
     """Elements in page order and the text pieces between their tags."""
@@ -76,6 +173,8 @@ def parse(source: str) -> Page:
     reaches to the end of the page, other such elements end at their own tag.
     """
     page, stack, block, in_link, at = Page(), [0], 0, 0, 0
+    scopes: list[int] = []  # places in the stack of open scopes, and of each open tag
+    places: dict[str, list[int]] = {}
 
     def text(piece: str) -> None:
         if piece:
@@ -84,13 +183,17 @@ def parse(source: str) -> Page:
             if in_link:
                 page.links[stack[-1]] += len(piece.strip())
 
-    for match in _TOKEN.finditer(source):
-        text(source[at:match.start()])
-        at = match.end()
-        tag = match[3]
-        if tag is None:
+    def close(place: int) -> None:
+        while len(stack) > place:
+            places[page.tags[stack.pop()]].pop()
+            if scopes and scopes[-1] == len(stack):
+                scopes.pop()
+
+    for start, end, tag, closing, attributes in tokens(source):
+        text(source[at:start])
+        at = end
+        if not tag:
             continue
-        tag, closing = tag.lower(), match[2]
         if tag in INLINE:
             if tag == "a":
                 in_link = 0 if closing else 1
@@ -99,29 +202,27 @@ def parse(source: str) -> Page:
             page.inline[stack[-1]] += 1
             continue
         block, in_link = block + 1, 0
+        scope = scopes[-1] if scopes else 0
         if closing:
-            for place in range(len(stack) - 1, 0, -1):
-                if page.tags[stack[place]] == tag:
-                    del stack[place:]
-                    break
-                if tag in ("p", "li") and page.tags[stack[place]] in SCOPES:
-                    break
+            own = places.get(tag)
+            if own and (tag not in ("p", "li") or own[-1] > scope):
+                close(own[-1])
             continue
         if tag in VOID:
             continue
-        ended = CLOSES.get(tag, ())
-        for place in range(len(stack) - 1, 0, -1):
-            name = page.tags[stack[place]]
-            if name == "p" or name in ended:
-                del stack[place:]
-            elif name in SCOPES:
-                break
-        named = " ".join("".join(found) for found in _ATTRIBUTE.findall(match[4] or ""))
+        for name in ("p", *CLOSES.get(tag, ())):
+            own = places.get(name, ())
+            if own and own[-1] > scope:
+                close(own[bisect_right(own, scope)])
+        named = " ".join("".join(found) for found in _ATTRIBUTE.findall(attributes))
         page.tags.append(tag)
         page.parents.append(stack[-1])
         page.words.append(tuple(_WORD.findall(named.lower())))
         page.links.append(0)
         page.inline.append(0)
+        if tag in SCOPES:
+            scopes.append(len(stack))
+        places.setdefault(tag, []).append(len(stack))
         stack.append(len(page.tags) - 1)
     text(source[at:])
     return page
@@ -141,10 +242,11 @@ def node_features(page: Page) -> np.ndarray:
         pieces[node] += 1
     links, nodes, inline = list(page.links), [1] * count, list(page.inline)
     paragraphs = [int(tag == "p") for tag in page.tags]
+    headings = [int(tag in ("h1", "h2")) for tag in page.tags]
     own_chars = list(chars)
     for node in range(count - 1, 0, -1):  # children come after their parents
         up = parent[node]
-        for values in (chars, marks, pieces, links, nodes, inline, paragraphs):
+        for values in (chars, marks, pieces, links, nodes, inline, paragraphs, headings):
             values[up] += values[node]
     depth, place, family = [0] * count, [0] * count, [0] * count
     good, bad = [0] * count, [0] * count
@@ -161,7 +263,7 @@ def node_features(page: Page) -> np.ndarray:
             family[up] += 1
             above_good[node] = above_good[up] + good[up] + (page.tags[up] in ("article", "main"))
             above_bad[node] = above_bad[up] + bad[up]
-    rows = np.zeros((count, len(TAGS) + 19))
+    rows = np.zeros((count, len(TAGS) + 20))
     for node, tag in enumerate(page.tags):
         if tag in _TAG_PLACE:
             rows[node, _TAG_PLACE[tag]] = 1
@@ -174,7 +276,7 @@ def node_features(page: Page) -> np.ndarray:
         np.log1p(nodes_), np.log1p(chars_ / nodes_), np.array(links) / np.maximum(chars_, 1),
         np.array(marks) / np.maximum(chars_, 1), chars_ / max(1.0, chars_[0]),
         np.log1p(pieces), np.log1p(inline), np.log1p(paragraphs),
-        np.log1p(chars_[up]),
+        np.log1p(chars_[up]), np.log1p(headings),
     ], axis=1)
     return rows
 
@@ -217,26 +319,71 @@ def text_of(page: Page, kept: np.ndarray) -> str:
     return "\n".join(line for line in lines if line)
 
 
-def landmarks(page: Page) -> np.ndarray | None:
-    """Content marks of a page that names its parts itself, or None: an ``article`` or
-    ``main`` element, without the parts inside it that are named as something else."""
-    inside = np.zeros(len(page.tags), bool)
-    barred = np.zeros(len(page.tags), bool)
-    for node in range(1, len(page.tags)):
+def content_marks(page: Page, mains: set[int]) -> np.ndarray:
+    """Marks of the elements ``mains`` and what is in them, without the parts that are named
+    as something else.
+
+    A name does not count against the text: a part that holds nine tenths of the text of all
+    ``mains`` is content whatever its class is called, and so is a header in the content that
+    holds a title.
+    """
+    count = len(page.tags)
+    chars, titles = [0] * count, [int(tag in ("h1", "h2")) for tag in page.tags]
+    for node, _, piece in page.pieces:
+        chars[node] += len(piece.strip())
+    for node in range(count - 1, 0, -1):
+        chars[page.parents[node]] += chars[node]
+        titles[page.parents[node]] += titles[node]
+    below = np.zeros(count, bool)  # in one of the mains
+    for node in range(1, count):
+        below[node] = below[page.parents[node]] or node in mains
+    total = sum(chars[node] for node in mains if not below[page.parents[node]])
+    inside, barred = np.zeros(count, bool), np.zeros(count, bool)
+    for node in range(1, count):
         up = page.parents[node]
-        other = page.tags[node] in BOILER_TAGS or any(
-            word in BOILER_WORDS for word in page.words[node])
+        if page.tags[node] in BOILER_TAGS:
+            other = not (page.tags[node] == "header" and inside[up] and titles[node]
+                         and 2 * page.links[node] <= chars[node])
+        else:
+            other = any(word in BOILER_WORDS for word in page.words[node]) and not (
+                below[node] and total and 10 * chars[node] >= 9 * total)
         barred[node] = barred[up] or other
-        inside[node] = not barred[node] and (
-            inside[up] or page.tags[node] in ("article", "main"))
+        inside[node] = not barred[node] and (inside[up] or node in mains)
+    return inside
+
+
+def landmarks(page: Page) -> np.ndarray | None:
+    """Content marks of a page that names its parts itself, by ``article`` or ``main``
+    elements, or None."""
+    inside = content_marks(page, {
+        node for node, tag in enumerate(page.tags) if tag in ("article", "main")})
     return inside if inside.any() else None
 
 
-def variants(page: Page, inside: np.ndarray, dice: random.Random) -> Iterator[str]:
+def example(dice: random.Random) -> str:
+    """A page of made-up words. The trees see no words, only lengths and marks."""
+    def words(least: int, most: int) -> str:
+        return " ".join("x" * dice.randint(2, 9) for _ in range(dice.randint(least, most)))
+
+    def paragraph() -> str:
+        return " ".join(words(2, 9) + ", " + words(2, 12) + "." for _ in range(
+            dice.randint(1, 6)))
+
+    content = "".join(f"<p>{paragraph()}</p>" for _ in range(dice.randint(1, 12)))
+    menu = "".join(f'<li><a href="#">{words(1, 2)}</a></li>' for _ in range(dice.randint(2, 8)))
+    return (f"<html><body><nav><ul>{menu}</ul></nav><article><h1>{words(2, 8)}</h1>{content}"
+            f"</article><aside><p>{words(3, 20)}</p></aside><footer>{words(2, 9)}</footer>"
+            "</body></html>")
+
+
+def variants(
+    page: Page, inside: np.ndarray, dice: random.Random, bare: bool = False
+) -> Iterator[str]:
     """Other layouts of the same texts, so that the trees do not learn one site's frame.
 
     The content is wrapped in an ``article`` or ``main`` mark that ``landmarks`` finds and
-    that is taken away from the features afterwards.
+    that is taken away from the features afterwards. With ``bare`` some contents are in a part
+    without a name, under a misleading one or right in the body, and some titles in a header.
     """
     blocks: dict[int, list] = {}
     for node, block, piece in page.pieces:
@@ -282,8 +429,18 @@ def variants(page: Page, inside: np.ndarray, dice: random.Random) -> Iterator[st
         tag = dice.choice(["article", "main", "div", "div", "section"])
         word = dice.choice(["", *sorted(CONTENT_WORDS)]) if tag in ("article", "main") else \
             dice.choice(sorted(CONTENT_WORDS))
+        if bare and dice.random() < 0.3:  # a name that misleads
+            word = f"{word} {dice.choice(sorted(BOILER_WORDS))}".strip()
         name = f' class="{word}"' if word else ""
         head = f"<h1>{html.escape(good[0])}</h1>" if good else ""
+        if bare and dice.random() < 0.3:
+            head = f"<header>{head}</header>"
+        if bare and dice.random() < 0.2:
+            yield (f"<html><head></head><body data-main>{several(2)}{head}{''.join(body)}"
+                   f"{several(2)}</body></html>")
+            continue
+        if bare and dice.random() < 0.3:
+            tag, name = "div", ""
         inner = f"<{tag}{name} data-main>{head}{''.join(body)}{several(2)}</{tag}>"
         if dice.random() < 0.4:
             inner = f'<div class="{dice.choice(["wrap", "container", "row", "page"])}">' \
@@ -294,45 +451,35 @@ def variants(page: Page, inside: np.ndarray, dice: random.Random) -> Iterator[st
 def marked_main(source: str, page: Page) -> np.ndarray:
     """Content marks of a variant, whose main element has the attribute ``data-main``."""
     number = 0
-    for match in _TOKEN.finditer(source):
-        if match[3] and not match[2] and match[3].lower() not in INLINE | VOID:
+    for _, _, tag, closing, attributes in tokens(source):
+        if tag and not closing and tag not in INLINE | VOID:
             number += 1
-            if match[4].endswith("data-main"):
+            if attributes.endswith("data-main"):
                 break
-    inside = np.zeros(len(page.tags), bool)
-    barred = np.zeros(len(page.tags), bool)
-    for node in range(number, len(page.tags)):
-        up = page.parents[node]
-        barred[node] = barred[up] or page.tags[node] in BOILER_TAGS or (
-            node != number and any(word in BOILER_WORDS for word in page.words[node]))
-        inside[node] = not barred[node] and (node == number or inside[up])
-    return inside
+    return content_marks(page, {number})
 
 
-def train(sources: list[str], seed: int = 1) -> Trees | None:
-    """Fits the trees on pages that name their parts, as they are and in other layouts.
-
-    None, if no page does.
-    """
+def train(sources: list[str], seed: int = 1) -> Trees:
+    """Fits the trees on pages that name their parts, as they are and in other layouts, and
+    on ``EXAMPLES`` made-up pages, so that there are trees whatever the pages are."""
     rows, truth = [], []
-    dice = random.Random(seed)
-    for source in sources:
+    dice, own = random.Random(seed), random.Random(seed)
+    made_up = [(example(own), own, True) for _ in range(EXAMPLES)]
+    for source, drawn, bare in [*((source, dice, False) for source in sources), *made_up]:
         page = parse(source)
         inside = landmarks(page)
         if inside is None:
             continue
         rows.append(node_features(page))
         truth.append(inside)
-        for other in variants(page, inside, dice):
+        for other in variants(page, inside, drawn, bare):
             made = parse(other)
             rows.append(node_features(made))
             truth.append(marked_main(other, made))
-    if not rows:
-        return None
     return boost(np.concatenate(rows), np.concatenate(truth).astype(float))
 
 
-def fit_extractor(pages: DataFrame, most: int = TRAINING_PAGES) -> Trees | None:
+def fit_extractor(pages: DataFrame, most: int = TRAINING_PAGES) -> Trees:
     """Trains on at most ``most`` pages, picked by a hash of the id."""
     known = pages.filter(F.col("html").isNotNull()).select("page_id", "html")
     chosen = known.select("page_id").distinct().orderBy(
@@ -345,29 +492,23 @@ def fit_extractor(pages: DataFrame, most: int = TRAINING_PAGES) -> Trees | None:
     return train([row["html"] for row in rows])
 
 
-def extract(pages: DataFrame, trees: Trees | None) -> DataFrame:
+def extract(pages: DataFrame, trees: Trees) -> DataFrame:
     """(page_id, url, text) per row: the main text of the whole page.
 
-    Null and empty pages and pages without content have an empty text. If there are no trees,
-    the page's own landmarks decide alone. Repeated rows give repeated results, an empty
-    table an empty one; other columns are not read.
+    Null and empty pages and pages without content have an empty text. Repeated rows give
+    repeated results, an empty table an empty one; other columns are not read.
     """
     shared = pages.sparkSession.sparkContext.broadcast(
-        trees and (trees.features, trees.cuts, trees.leaves, trees.start))
+        (trees.features, trees.cuts, trees.leaves, trees.start))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = shared.value and Trees(*shared.value)
+        own = Trees(*shared.value)
         for batch in slices(batches):
             parsed = [parse(source or "") for source in batch.column("html").to_pylist()]
             sizes = [len(page.tags) for page in parsed]
-            if own:
-                odds = own.log_odds(np.concatenate([node_features(page) for page in parsed]))
-                marks = [decode(page.parents, part) for page, part in zip(
-                    parsed, np.split(odds, np.cumsum(sizes)[:-1]), strict=True)]
-            else:
-                marks = [landmarks(page) for page in parsed]
-                marks = [np.zeros(n, bool) if m is None else m
-                         for n, m in zip(sizes, marks, strict=True)]
+            odds = own.log_odds(np.concatenate([node_features(page) for page in parsed]))
+            marks = [decode(page.parents, part) for page, part in zip(
+                parsed, np.split(odds, np.cumsum(sizes)[:-1]), strict=True)]
             texts = [text_of(page, kept) for page, kept in zip(parsed, marks, strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string())],

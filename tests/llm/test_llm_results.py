@@ -6,6 +6,7 @@ import hashlib
 import random
 import re
 import struct
+import time
 import zlib
 
 import numpy as np
@@ -466,3 +467,60 @@ def test_decoding_enters_content_once():
     assert kept.tolist() == [False, True, True, True, False]
     kept = html_text.decode(parents, np.array([-5.0, 1, -9, 2, -5]))
     assert kept.tolist() == [False, False, False, True, False]
+
+
+@pytest.mark.parametrize("unit", [
+    "<select><option>x", '<b class="', "<b class='\"", "<a<a", "<foo>x", "<div><p>x</i></p>",
+    "<!x", "<script", "<svg a='", "</p></li>", "<p><foo></div>",
+])
+@pytest.mark.parametrize("end", ["", '"', "' >", '">'])
+def test_malformed_pages_take_linear_time(unit, end):
+    begin = time.process_time()
+    page = html_text.parse("<body><p><div><li>" + unit * (1_000_000 // len(unit)) + end)
+    assert time.process_time() - begin < 6  # an hour, if every tag looked at all the rest
+    assert len(page.tags) >= 5
+
+
+@pytest.fixture(scope="module")
+def trees():
+    return html_text.train([])
+
+
+def content_of(trees, source):
+    page = html_text.parse(source)
+    kept = html_text.decode(page.parents, trees.log_odds(html_text.node_features(page)))
+    return html_text.text_of(page, kept)
+
+
+@pytest.mark.parametrize("start, end", [
+    ('<div id="content">', "</div>"), ('<div class="wrap"><div class="post">', "</div></div>"),
+    ("<main>", "</main>"), ('<article class="post top">', "</article>"), ("<div>", "</div>"),
+    ("", ""),
+])
+def test_trees_exist_without_training_pages(trees, start, end):
+    texts = [f"This is part {i} of the text, with some words in it. There is more to say."
+             for i in range(6)]
+    inner = "".join(f"<p>{text}</p>" for text in texts)
+    source = ('<body><ul class="menu"><li><a href="/">Home</a></li><li><a href="/n">News</a></li>'
+              f"</ul>{start}{inner}{end}<footer>Imprint</footer></body>")
+    assert content_of(trees, source) == "\n".join(texts)
+
+
+def test_title_in_the_header_of_an_article(trees):
+    texts = [f"This is part {i} of the text, with some words in it. There is more to say."
+             for i in range(6)]
+    inner = "".join(f"<p>{text}</p>" for text in texts)
+    source = ("<body><header><a href='/'>Site</a></header><article><header><h1>A title here</h1>"
+              f"</header>{inner}</article><footer>Imprint</footer></body>")
+    assert content_of(trees, source) == "\n".join(["A title here", *texts])
+
+
+@pytest.mark.parametrize("source, lines", [
+    ('<article class="post top"><p>The text, all of it.</p></article>', [True, True]),
+    ('<main><div class="tags-page"><p>The text, all of it.</p></div></main>', [True] * 3),
+    ("<article><header><h1>Title</h1></header><p>Text.</p></article>", [True] * 4),
+    ('<article><p>The text.</p><div class="tags">a</div></article>', [True, True, False]),
+    ("<article><header><a>Home</a></header><p>Text.</p></article>", [True, False, True]),
+])
+def test_names_of_parts_yield_to_their_text(source, lines):
+    assert html_text.landmarks(html_text.parse(source))[1:].tolist() == lines
