@@ -14,8 +14,7 @@ from pyspark.sql import functions as F
 from fusion_spark.llm.store import stored
 
 HASHES = 3
-SHORT = 600  # code points; a shorter text is cut more finely
-SHORT_WORDS, WORDS = 4, 16
+WORDS = 8  # a power of two; of so many different words one ends a piece
 BASE = 4  # cells in a row of the printed fingerprint
 ROUNDS = 2
 _NO_ID = -(1 << 63)
@@ -24,14 +23,33 @@ _NO_ID = -(1 << 63)
 def paragraph_digests(text: Column) -> Column:
     """Distinct 64-bit digests of the text's paragraphs.
 
-    Lines are paragraphs; a long one is cut after every 16th word, in a text of less than
-    ``SHORT`` characters after every 4th, so texts of one line have several.
+    A line ends a paragraph and so does, on average, one of ``WORDS`` words, chosen by the
+    word's own hash. Texts of one line have several paragraphs, and a change moves no cut but
+    its own, whatever the lengths of the texts are. White space within a line does not count.
     """
-    def cut(words: int) -> Column:
-        return F.regexp_extract_all(text, F.lit(rf"(?:\S++[^\S\n]*+){{1,{words}}}+"), F.lit(0))
-
-    pieces = F.when(F.length(text) < SHORT, cut(SHORT_WORDS)).otherwise(cut(WORDS))
-    return F.array_distinct(F.transform(pieces, lambda piece: F.xxhash64(piece)))
+    def with_cuts(tokens: Column) -> Column:
+        line = F.lit("\n")
+        ends = F.filter(
+            F.transform(tokens, lambda token, i: F.when(
+                token.startswith(line) | (F.xxhash64(token).bitwiseAND(WORDS - 1) == 0)
+                | (i == F.size(tokens) - 1), i)),
+            lambda end: end.isNotNull())
+        return F.struct(tokens.alias("tokens"), ends.alias("ends"))
+
+    def digests(cut: Column) -> Column:
+        tokens, ends = cut["tokens"], cut["ends"]
+
+        def digest(end: Column, k: Column) -> Column:
+            start = F.coalesce(F.get(ends, k - 1) + 1, F.lit(0))
+            stop = F.when(F.get(tokens, end).startswith(F.lit("\n")), end).otherwise(end + 1)
+            piece = F.slice(tokens, start + 1, stop - start)
+            return F.when(stop > start, F.xxhash64(piece))
+
+        return F.array_distinct(F.array_compact(F.transform(ends, digest)))
+
+    # arrays of one element: a lambda's argument is worked out once
+    tokens = F.array(F.regexp_extract_all(text, F.lit(r"\S++|\n\s*+"), F.lit(0)))
+    return F.transform(F.transform(tokens, with_cuts), digests)[0]
 
 
 def printed_sketch(digests: Column) -> Column:

@@ -13,6 +13,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
+import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -145,6 +146,38 @@ def jaccard(one, two):
     return 1.0 if not one | two else len(one & two) / len(one | two)
 
 
+def pieces(text):
+    """Lines cut behind every word whose hash ends in three zero bits."""
+    found = set()
+    for line in text.split("\n"):
+        piece = []
+        for word in line.split():
+            piece.append(word)
+            if xxhash.xxh64_intdigest(word, 42) % 8 == 0:
+                found.add(tuple(piece))
+                piece = []
+        found.add(tuple(piece))
+    return found - {()}
+
+
+def near_next(spark, text, after):
+    docs = spark.createDataFrame([(2, text), (1, after)], "doc_id long, text string")
+    return fingerprints.fingerprints(docs).filter("doc_id = 2").first()["near_next"]
+
+
+def test_likeness_across_lengths_and_insertions(spark):
+    dice = random.Random(5)
+    listed = ["".join(dice.choice("abcdefghij") for _ in range(dice.randint(3, 8)))
+              for _ in range(2000)]
+    text = " ".join(listed)
+    assert near_next(spark, "first " + text, text) > 0.99
+    assert near_next(spark, "\n\n " + text.replace(" ", "  "), text) == 1
+    # against nine tenths of itself; 300 characters have about six pieces
+    for chars, least in ((300, 0.5), (639, 0.7), (5000, 0.8)):
+        assert near_next(spark, text[:chars], text[:chars * 9 // 10]) > least
+    assert near_next(spark, text[:5000], text[5000:]) < 0.1
+
+
 def test_fingerprints_equal_brute_force(spark):
     dice = random.Random(4)
     rows = [(i * 7, "\n".join(" ".join(dice.choice("abcdefgh") * 3 for _ in range(
@@ -154,10 +187,6 @@ def test_fingerprints_equal_brute_force(spark):
     # a sketch this small fails for some rows, which are done again with more cells
     found = {r["doc_id"]: r for r in fingerprints.fingerprints(docs, grow=1).collect()}
 
-    def pieces(text):
-        most = 4 if len(text) < 600 else 16
-        return set(re.findall(rf"(?:\S+[^\S\n]*){{1,{most}}}", text))
-
     order = sorted(rows, reverse=True)
     for place, (doc, text) in enumerate(order):
         after = order[(place + 1) % len(order)][1]
