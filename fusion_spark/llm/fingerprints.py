@@ -17,6 +17,7 @@ HASHES = 3
 WORDS = 8  # a power of two; of so many different words one ends a piece
 BASE = 4  # cells in a row of the printed fingerprint
 ROUNDS = 2
+FEW = 100_000  # so many ids to do again, and those after them, are broadcast; more are shuffled
 _NO_ID = -(1 << 63)
 
 
@@ -248,15 +249,21 @@ def fingerprints(docs: DataFrame, grow: int = 4) -> DataFrame:
     seed = 0
     while True:
         failed = done.filter("failed").select("id").distinct()
-        if failed.isEmpty():
+        count = failed.count()
+        if not count:
             break
+
+        def listed(ids: DataFrame, few: bool = count <= FEW) -> DataFrame:
+            return F.broadcast(ids) if few else ids
+
         seed, grow = seed + 2, 4 * grow
         # the failed rows and the rows that hold their next texts
-        links = chain.join(failed.withColumnRenamed("id", "previous"), "previous", "left_semi")
+        previous = failed.withColumnRenamed("id", "previous")
+        links = stored(chain.join(listed(previous), "previous", "left_semi"))
         wanted = failed.union(links.select("id")).distinct()
-        again = versions(known.join(wanted, "id", "left_semi"), stored(links), parts)
-        redone = differences(again.join(failed, "id", "left_semi"), seed, grow)
-        done = stored(done.join(failed, "id", "left_anti").unionByName(redone))
+        again = versions(known.join(listed(wanted), "id", "left_semi"), links, parts)
+        redone = differences(again.join(listed(failed), "id", "left_semi"), seed, grow)
+        done = stored(done.join(listed(failed), "id", "left_anti").unionByName(redone))
     return done.select(
         F.nullif("id", F.lit(_NO_ID)).alias("doc_id"), "n_chars", "edited_sha256",
         "fingerprint", "edited_fingerprint", "near_edited", "near_next",
