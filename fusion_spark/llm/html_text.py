@@ -479,8 +479,8 @@ def train(sources: list[str], seed: int = 1) -> Trees:
     return boost(np.concatenate(rows), np.concatenate(truth).astype(float))
 
 
-def fit_extractor(pages: DataFrame, most: int = TRAINING_PAGES) -> Trees:
-    """Trains on at most ``most`` pages, picked by a hash of the id."""
+def fit_extractor(pages: DataFrame, most: int = TRAINING_PAGES) -> Trees | None:
+    """Trains on at most ``most`` pages, picked by a hash of the id; None if no page has html."""
     known = pages.filter(F.col("html").isNotNull()).select("page_id", "html")
     chosen = known.select("page_id").distinct().orderBy(
         F.xxhash64("page_id"), "page_id").limit(most)
@@ -489,26 +489,32 @@ def fit_extractor(pages: DataFrame, most: int = TRAINING_PAGES) -> Trees:
         .groupBy("page_id").agg(F.max("html").alias("html"))
         .orderBy(F.xxhash64("page_id"), "page_id").collect()
     )
-    return train([row["html"] for row in rows])
+    return train([row["html"] for row in rows]) if rows else None
 
 
-def extract(pages: DataFrame, trees: Trees) -> DataFrame:
+def extract(pages: DataFrame, trees: Trees | None) -> DataFrame:
     """(page_id, url, text) per row: the main text of the whole page.
 
-    Null and empty pages and pages without content have an empty text. Repeated rows give
-    repeated results, an empty table an empty one; other columns are not read.
+    Null and empty pages and pages without content have an empty text. Without trees the
+    page's own landmarks decide alone. Repeated rows give repeated results, an empty table an
+    empty one; other columns are not read.
     """
     shared = pages.sparkSession.sparkContext.broadcast(
-        (trees.features, trees.cuts, trees.leaves, trees.start))
+        trees and (trees.features, trees.cuts, trees.leaves, trees.start))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = Trees(*shared.value)
+        own = shared.value and Trees(*shared.value)
         for batch in slices(batches):
             parsed = [parse(source or "") for source in batch.column("html").to_pylist()]
             sizes = [len(page.tags) for page in parsed]
-            odds = own.log_odds(np.concatenate([node_features(page) for page in parsed]))
-            marks = [decode(page.parents, part) for page, part in zip(
-                parsed, np.split(odds, np.cumsum(sizes)[:-1]), strict=True)]
+            if own:
+                odds = own.log_odds(np.concatenate([node_features(page) for page in parsed]))
+                marks = [decode(page.parents, part) for page, part in zip(
+                    parsed, np.split(odds, np.cumsum(sizes)[:-1]), strict=True)]
+            else:
+                marks = [landmarks(page) for page in parsed]
+                marks = [np.zeros(n, bool) if m is None else m
+                         for n, m in zip(sizes, marks, strict=True)]
             texts = [text_of(page, kept) for page, kept in zip(parsed, marks, strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string())],
