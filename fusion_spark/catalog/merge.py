@@ -132,12 +132,19 @@ LEFT JOIN support s ON s.sample = a.sample AND s.ctx = a.context_sequence_id
 """)
 def merged_candidates(spark, sf_dir):
     calls = view(spark, sf_dir, "fx_calls")
-    annotated = calls.select(
+    # moved before the columns that repeat its gene names and breakpoints are made
+    moved = calls.select("sample", "tool", "gene1", "gene2", "bpid", "ord").repartition(
+        "sample", "bpid"
+    ).withColumns({
+        "bp1": F.substring_index("bpid", "_", 1), "bp2": F.substring_index("bpid", "_", -1),
+    })
+    annotated = moved.select(
         "sample", *[F.expr(v).alias(k) for k, v in _PASSED.items()],
         F.struct("ord", "tool").alias("_ord"),
     )
     evidence = calls.select("sample", "bpid", "tool", "junc", "span", F.col("ord").alias("_ord"))
-    return M.merge_candidates(annotated, evidence, _requant(calls), _library(calls), _TOOLS)
+    return M.merge_candidates(
+        annotated, evidence, _requant(calls), _library(calls), _TOOLS, ftid_names_bpid=True)
 
 
 @query("rf_score", "", """

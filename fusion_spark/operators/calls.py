@@ -268,13 +268,10 @@ def tool_counts(
     counts. ``tool_frac`` divides the number of distinct tools seen, listed or not, by the
     number of listed tools. With ``library(sample, input_reads)`` counts become CPM.
     """
-    latest = calls.groupBy("sample", "bpid", "tool").agg(
+    # one shuffle serves the calls of a tool, the tools of a breakpoint and a join by breakpoint
+    latest = calls.repartition("sample", "bpid").groupBy("sample", "bpid", "tool").agg(
         F.max_by("junc", order).alias("junc"), F.max_by("span", order).alias("span")
     )
-    if library is not None:
-        latest = skew_join(latest, library, ["sample"], "left", ["bpid", "tool"])
-        for c in ("junc", "span"):
-            latest = latest.withColumn(c, cpm(F.col(c), F.col("input_reads")))
     columns = []
     for tool in tools:
         mine, name = F.col("tool") == tool, tool.lower()
@@ -283,9 +280,25 @@ def tool_counts(
             F.coalesce(F.max(F.when(mine, F.col("junc"))), F.lit(0)).alias(f"{name}_junc"),
             F.coalesce(F.max(F.when(mine, F.col("span"))), F.lit(0)).alias(f"{name}_span"),
         ]
-    return latest.groupBy("sample", "bpid").agg(
+    counts = latest.groupBy("sample", "bpid").agg(
         *columns, (F.count("*") / F.lit(len(tools))).alias("tool_frac")
     )
+    if library is None:
+        return counts
+    library = library.select("sample", "input_reads")
+    with_library = skew_join(counts, library, ["sample"], "left", ["bpid"])
+    return with_library.withColumns(tool_cpm(tools)).drop("input_reads")
+
+
+def tool_cpm(tools: list[str]) -> dict[str, Column]:
+    """CPM in place of the counts of ``tool_counts``; 0 where the sample has no library."""
+    names = [f"{tool.lower()}_{count}" for tool in tools for count in ("junc", "span")]
+    return {
+        name: F.when(
+            F.col(name).isNotNull(), F.coalesce(cpm(F.col(name), F.col("input_reads")), F.lit(0.0))
+        )
+        for name in names
+    }
 
 
 def latest_calls(calls: DataFrame, order: list[str]) -> DataFrame:

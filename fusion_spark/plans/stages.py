@@ -92,7 +92,8 @@ def merge(
         F.col("Junction_Reads").alias("junc"), F.col("Spanning_Reads").alias("span"), "_ord",
     )
     counts = requant if "_ord" in requant.columns else requant.withColumn("_ord", F.col("name"))
-    return merge_candidates(rows, calls, counts, library, tools, strict)
+    rows = rows.repartition("sample", "BPID")
+    return merge_candidates(rows, calls, counts, library, tools, strict, ftid_names_bpid=True)
 
 
 def predict(
